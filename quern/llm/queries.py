@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import leakage, mixing, spam, tokens
+from quern.llm import language, leakage, mixing, quality, spam, tokens
 from quern.tables import load
 
 
+def p4_found(spark, sf_dir):
+    return language.label_cases(load(spark, sf_dir, "items"))
+
+
+def p4_segments(spark, sf_dir):
+    """Every segment of every item's text with its language and confidence."""
+    return language.text_segments(load(spark, sf_dir, "items"))
+
+
+def p5_found(spark, sf_dir):
+    return quality.text_statistics(quality.item_texts(load(spark, sf_dir, "items"))).where("text_kind is not null").select("item_id", "text_kind")
+
+
+def p5_statistics(spark, sf_dir):
+    """All figures of every item's text."""
+    return quality.text_statistics(quality.item_texts(load(spark, sf_dir, "items")))
+
+
 def p7_token_totals(spark, sf_dir):
     return tokens.token_cube(tokens.item_tokens(load(spark, sf_dir, "items")))
 
@@ -43,5 +61,5 @@ def p10_site_rates(spark, sf_dir):
     return scored.join(docs, "doc_id").groupBy("site").agg(F.count("*").alias("n_docs"), F.count_if("is_spam").alias("n_spam"))
 
 
-QUERIES = {f.__name__: f for f in (p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_segments, p5_found, p5_statistics, p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}
 SQL: dict[str, str] = {}
