@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import language, leakage, mixing, quality, spam, tokens
+from quern.llm import consensus, language, leakage, mixing, quality, spam, tokens, truncation
 from quern.tables import load
 
 
+def _consensus(spark, sf_dir):
+    return consensus.consensus(load(spark, sf_dir, "reviews"), load(spark, sf_dir, "items"))
+
+
+def p3_found(spark, sf_dir):
+    return _consensus(spark, sf_dir)[0].select("item_id", "iteration", "decision")
+
+
+def p3_agreement(spark, sf_dir):
+    """Confidence of each decision and the share of agreeing pairs of votes."""
+    return _consensus(spark, sf_dir)[0]
+
+
+def p3_reliability(spark, sf_dir):
+    """Sensitivity, specificity and reliability of each reviewer."""
+    return _consensus(spark, sf_dir)[1]
+
+
 def p4_found(spark, sf_dir):
     return language.label_cases(load(spark, sf_dir, "items"))
 
@@ -26,6 +44,14 @@ def p5_statistics(spark, sf_dir):
     return quality.text_statistics(quality.item_texts(load(spark, sf_dir, "items")))
 
 
+def p6_found(spark, sf_dir):
+    return truncation.scored_values(load(spark, sf_dir, "items")).where("is_cut").select("item_id", "iteration", "field_name")
+
+
+def p6_cut_rates(spark, sf_dir):
+    return truncation.cut_rates(truncation.scored_values(load(spark, sf_dir, "items")))
+
+
 def p7_token_totals(spark, sf_dir):
     return tokens.token_cube(tokens.item_tokens(load(spark, sf_dir, "items")))
 
@@ -61,5 +87,5 @@ def p10_site_rates(spark, sf_dir):
     return scored.join(docs, "doc_id").groupBy("site").agg(F.count("*").alias("n_docs"), F.count_if("is_spam").alias("n_spam"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_segments, p5_found, p5_statistics, p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_agreement, p3_reliability, p4_found, p4_segments, p5_found, p5_statistics, p6_found, p6_cut_rates, p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}
 SQL: dict[str, str] = {}
