@@ -53,7 +53,7 @@ _END = re.compile(r"[.!?。！？…][\"”»』」)\]]*$")
 _LINK = "\x01"
 _PRICE = re.compile(r"\d[.,]\d\d(?!\d)")
 _HIRA = re.compile("[ぁ-ゖ]")
-#: Share of a sentence's words that repeated content words take up in a stuffed one.
+#: Share of words that repeated content words take up in a stuffed entry or sentence; half, in a fluent sentence with no word twice.
 STUFFED = 0.3
 
 
@@ -90,6 +90,12 @@ def _weigh(toks: list[str], fn: set[str], heavy: set, pairs: bool) -> tuple[int,
     return m, f, h
 
 
+def _repeats(toks: list[str], heavy: set, pairs: bool) -> bool:
+    """Whether one sentence has a repeated content word twice."""
+    own = [p for p in (zip(toks, toks[1:]) if pairs else toks) if p in heavy]
+    return len(set(own)) < len(own)
+
+
 def features(text: str) -> tuple[str, list[float], float] | None:
     """Language, the feature vector, and the share of the text that is spam."""
     total = len("".join(text.split()))
@@ -130,9 +136,10 @@ def features(text: str) -> tuple[str, list[float], float] | None:
         size = len(seg) - seg.count(" ")
         m, f, h = _weigh(toks, fn, heavy, pairs)
         weighed, repeated = weighed + m, repeated + h
-        if price or (h and h >= STUFFED * m):
+        fluent = f > 0 and f >= share * m and (m > 5 or _END.search(seg) is not None)
+        if price or (h and h >= (STUFFED if not fluent or _repeats(toks, heavy, pairs) else 0.5) * m):
             spam += size
-        elif f and f >= share * m and (m > 5 or _END.search(seg)):
+        elif fluent:
             sentence += size
     free = 1 - min(1.0, linked / total)
     vector = [1 - free, 1 - entropy, repeated / weighed if weighed else 0.0, max(0.0, 0.4 - function) * 2, 1 - min(1.0, sentence / max(total - linked, 1)) * free]

@@ -41,21 +41,26 @@ ENDINGS = {"mark": 8.0, "open": 8.0, "unseen": 5.0, "seen": -4.0, "whole": -6.0}
 LIMIT = 3.0
 #: Values at one length that make it a candidate limit, and how many times the expected number.
 LEAST, TIMES = 5, 5.0
+#: Sentences that begin alike from which on their endings are taken to be known.
+FRAMES = 20
 
 _MARK = re.compile(r"(?:…|\.{3,}|\[\+?\d* ?(?:chars?|characters|more)\]|[\[(<{]{1,2}\s*(?:truncated|cut|cut off|snip(?:ped)?|…|\.\.\.|\+?\d+ chars?(?: truncated)?|continued|more)\s*[\])>}]{1,2}|\(more\)|<cut>|�)[\s\"'”»}]*$", re.I)
 _CITE = re.compile(r"\s*(?:[\[［][^\[\]［］]*[\]］]|\((?:[A-Z]|\d+)\.\d+\))")
-_STOP = re.compile(r"[.!?。！？]+[\"'”»』」)\]]*(?:\s+|$|(?<=[。！？])(?=.))")
+_STOP = re.compile(r"[.!?。！？]+[\"'”»』」)\]]*(?:\s+|$|(?<=[。！？])(?=.))|\s*\n\s*")
 _WORD = re.compile(f"[{CJK}]|[^\\W_{CJK}]+")
 _CJK1 = re.compile(f"[{CJK}]")
 _FENCE = re.compile(r"```\w*\s*(.*?)```", re.S)
 
 
 def _key(sentence: str) -> str:
-    """The last words of a sentence (characters, in scripts without spaces)."""
-    toks = _WORD.findall(sentence[-80:].lower())
-    if toks and _CJK1.match(toks[-1]):
-        return "".join(toks[-5:])
-    return " ".join(toks[-2:])
+    """The first and the last words of a sentence (characters, in scripts without spaces), joined by a bar."""
+    toks = _WORD.findall(sentence[:80].lower())
+    ends = _WORD.findall(sentence[-80:].lower())
+    if not ends:
+        return ""
+    if _CJK1.match(ends[-1]):
+        return "".join(toks[:4]) + "|" + "".join(ends[-5:])
+    return " ".join(toks[:2]) + "|" + " ".join(ends[-2:])
 
 
 def _ending(text: str) -> tuple[str, str]:
@@ -73,7 +78,7 @@ def _ending(text: str) -> tuple[str, str]:
         return "whole", ""
     if s[-1] in "\"”»』」)" and bare[-2:-1] in (".", "!", "?", "。"):
         return "whole", ""
-    return "words", _key(bare)
+    return "words", _key(_STOP.split(bare)[-1])
 
 
 def _object_end(s: str) -> tuple[int, int]:
@@ -140,7 +145,10 @@ def answer_ending(raw: str) -> tuple[str, str]:
 
 
 def sentence_keys(text: str) -> list[str]:
-    """Last words of the sentences of ``text`` that end in a stop."""
+    """First and last words of the sentences of ``text`` that end in a stop or a line."""
+    mark = _MARK.search(text.rstrip())
+    if mark:
+        text = text[: mark.start()]
     pieces = _STOP.split(_CITE.sub("", text))
     return [k for p in pieces[:-1] if p and (k := _key(p))]
 
@@ -236,10 +244,16 @@ def scored_values(items: DataFrame) -> DataFrame:
     """The table of endings with log_odds of a cut, is_cut, and the limit the value stands at, if any."""
     spark = items.sparkSession
     table = materialize(value_endings(items), "value_endings")
-    seen = table.where("field_name = 'reflection'").select(F.explode("keys").alias("words")).groupBy("words").agg(F.count("*").alias("n_seen"))
-    # only the distinct last words that must tell meet the counts
-    asked = table.where("ending = 'words'").select("words").distinct().join(seen, "words").where("n_seen >= 2").select("words", F.lit(True).alias("_seen"))
-    told = table.drop("keys").join(asked, "words", "left").withColumn("ending", F.when(F.col("ending") != "words", F.col("ending")).when(F.col("_seen"), "seen").otherwise("unseen")).drop("_seen")
+    seen = table.where("field_name = 'reflection'").select(F.explode("keys").alias("words")).groupBy("words").agg(F.count("*").alias("n"))
+    first, last = F.substring_index("words", "|", 1), F.substring_index("words", "|", -1)
+    frames = seen.groupBy(first.alias("_first")).agg(F.sum("n").alias("n_frame"))
+    lasts = seen.groupBy(last.alias("_last")).agg(F.sum("n").alias("n_last"))
+    # only the distinct words that must tell meet the counts: a sentence that began and ended so,
+    # or, where few sentences began so, any that ended so
+    asked = table.where("ending = 'words'").select("words").distinct().withColumn("_first", first).withColumn("_last", last)
+    known = asked.join(seen, "words", "left").join(frames, "_first", "left").join(lasts, "_last", "left").fillna(0, ["n", "n_frame", "n_last"])
+    known = known.where(f"n >= 2 or (n_frame < {FRAMES} and n_last >= 2)").select("words", F.lit(True).alias("_seen"))
+    told = table.drop("keys").join(known, "words", "left").withColumn("ending", F.when(F.col("ending") != "words", F.col("ending")).when(F.col("_seen"), "seen").otherwise("unseen")).drop("_seen")
     weight = F.create_map(*[x for k, v in ENDINGS.items() for x in (F.lit(k), F.lit(v))])[F.col("ending")]
     limits = length_limits(told.select("model", "field_name", "n_chars", (weight > 0).alias("cut")))
     rows = [(m, f, length, post, math.log(post / (1 - post))) for (m, f), d in limits.items() for length, post in d["limits"].items()]
