@@ -238,4 +238,10 @@ def review_pages(spark, sf_dir):
     return n.withColumn("page", F.dense_rank().over(Window.orderBy(F.desc("iteration"))))  # one row an iteration
 
 
+def diagnose(spark, sf_dir):
+    """The sections of the full report over all iterations, each a table of its own."""
+    sections = (iter_summary, score_distribution, pooled_distribution, floor_violations, flips, diversity, top_first_words, run_summary)
+    return {fn.__name__: fn(spark, sf_dir) for fn in sections}
+
+
 QUERIES, SQL = query.queries, query.sql

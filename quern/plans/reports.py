@@ -180,11 +180,12 @@ def _years(spark, sf_dir):
 
 @query(f"WITH {_CG}, p AS (SELECT a.bench, a.pid, a.lang AS lang_a, b.lang AS lang_b, len(list_intersect(a.ys, b.ys)) AS x, len(list_distinct(list_concat(a.ys, b.ys))) AS u FROM g a JOIN g b ON substr(a.pid, 1, 2) = substr(b.pid, 1, 2) AND a.bench = b.bench AND (a.lang || a.pid) < (b.lang || b.pid)) SELECT bench, count(*) AS n_pairs, sum((u = 0 OR x = u)::int)::bigint AS n_same, sum(round(CASE WHEN u = 0 THEN 1000.0 ELSE 1000.0 * x / u END))::bigint AS sum_milli FROM p GROUP BY 1")
 def consistency_jaccard(spark, sf_dir):
-    """Agreement of the year sets of passages in one small group (a bench's ten neighbours): a group is bounded by the languages it is told in."""
-    g = _years(spark, sf_dir).withColumn("grp", F.substring("pid", 1, 2)).withColumn("k", F.concat("lang", "pid"))
-    a, b = g.select("bench", "grp", F.col("k").alias("ka"), F.col("ys").alias("ya")), g.select("bench", "grp", F.col("k").alias("kb"), F.col("ys").alias("yb"))
-    p = a.join(b, ["bench", "grp"]).where("ka < kb").select("bench", S.jaccard(F.col("ya"), F.col("yb")).alias("j"))
-    return p.groupBy("bench").agg(F.count("*").alias("n_pairs"), F.count_if(F.col("j") == 1).alias("n_same"), F.sum(F.round(F.col("j") * 1000).cast("bigint")).alias("sum_milli"))
+    """Agreement of the year sets of neighbouring passages: a group is ten passages at most, compared inside its row."""
+    g = _years(spark, sf_dir).withColumn("grp", F.substring("pid", 1, 2)).groupBy("bench", "grp").agg(F.array_sort(F.collect_list(F.struct(F.concat("lang", "pid").alias("k"), "ys"))).alias("m"))
+    pairs = F.flatten(F.transform("m", lambda x, i: F.transform(F.filter("m", lambda y: y["k"] > x["k"]), lambda y: S.jaccard(x["ys"], y["ys"]))))
+    p = g.select("bench", pairs.alias("j"))
+    add = lambda f: F.aggregate("j", F.lit(0).cast("bigint"), lambda acc, v: acc + f(v))
+    return p.groupBy("bench").agg(F.sum(F.size("j")).alias("n_pairs"), F.sum(add(lambda v: (v == 1).cast("bigint"))).alias("n_same"), F.sum(add(lambda v: F.round(v * 1000).cast("bigint"))).alias("sum_milli"))
 
 
 @query(f"WITH {_CG}, e AS (SELECT bench, lang, unnest(ys) AS y FROM g), s AS (SELECT bench, y, count(DISTINCT lang) AS support FROM e GROUP BY 1, 2) SELECT bench, support, count(*) AS n FROM s GROUP BY 1, 2")

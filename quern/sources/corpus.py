@@ -79,3 +79,17 @@ def linspace_shards(shards: list[str], k: int) -> list[str]:
     if k == 1:
         return shards[:1]
     return [shards[int(i * (len(shards) - 1) / (k - 1))] for i in range(k)]
+
+
+def list_files(names: list[str], prefix: str = "", ending: str = ".parquet") -> list[str]:
+    """The names of a remote listing that begin and end so, sorted; without the prefix if none begins so."""
+    some = [n for n in names if n.endswith(ending)]
+    return sorted(n for n in some if n.startswith(prefix)) or sorted(some)
+
+
+def cached(spark: SparkSession, path: str, build) -> DataFrame:
+    """The table at ``path``, built and written once if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        build().write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

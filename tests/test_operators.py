@@ -174,3 +174,27 @@ def test_export_is_idempotent(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "cards")).count() == 3
     tasks = spark.createDataFrame([(True, 5, 1), (False, 2, 0)], "done boolean, n_docs long, n_failed long")
     assert math.isclose(ST.progress(tasks).first().pct, 50.0)
+
+
+def test_cache_builds_once(spark, tmp_path):
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    path = str(tmp_path / "bench")
+    assert C.cached(spark, path, build).count() == C.cached(spark, path, build).count() == 3 and built == [1]
+    assert C.list_files(["b/2.parquet", "a/1.parquet", "a/x.txt"], "a/") == ["a/1.parquet"] and len(C.list_files(["b/2.parquet", "a/1.parquet"], "z/")) == 2
+
+
+def test_rendering(spark):
+    from quern.functions import rendering as H
+
+    row = spark.createDataFrame([("a <b> [1.1] 1.1 [9.9]",)], "t string").select(H.hover_citations(F.col("t"), {"1.1": 'So "x" $1'}).alias("h")).first()
+    assert row.h == 'a &lt;b&gt; [<abbr title="So &quot;x&quot; $1">1.1</abbr>] 1.1 [9.9]'
+    assert H.spec_sections("# T\n### 1.1 One\nbody\n\n### A.1 Two\nmore\n# End\nno") == [("1.1", "One", "body"), ("A.1", "Two", "more")]
+    schema = "id int, raw string, j map<string, struct<scores: map<string,int>, reasoning: string, model_reasoning: string>>"
+    slim = H.strip_heavy(spark.createDataFrame([(1, "x", {"v": ({"a": 1}, "long", "long")})], schema), "j", columns=("raw",))
+    assert slim.columns == ["id", "j"] and slim.first().j["v"].asDict() == {"scores": {"a": 1}}
+    assert spark.createDataFrame([("a\x00b￿",)], "t string").select(H.sanitize(F.col("t")).alias("t")).first().t == "a�b�"
