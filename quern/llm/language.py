@@ -344,9 +344,9 @@ def text_languages(segs: DataFrame) -> DataFrame:
 
 def label_cases(items: DataFrame) -> DataFrame:
     """Item versions whose label is missing, wrong or names one of several languages: a row per language of the text."""
-    from quern.llm.quality import item_texts, text_statistics
+    from quern.llm.quality import stored_texts, text_statistics
 
-    texts = item_texts(items)
+    texts = stored_texts(items)
     odd = text_statistics(texts).where("text_kind is not null").select("item_id")
     langs = text_languages(text_segments(items, texts)).where("lang <> 'und'").groupBy("item_id").agg(F.collect_set("lang").alias("langs"))
     langs = langs.join(odd, "item_id", "left_anti")

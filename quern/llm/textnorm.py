@@ -15,6 +15,8 @@ _HIDDEN = re.compile("[­​-‏⁠﻿]")
 _MARKS = re.compile("[̀-゙゚ͯ]")
 _TOKEN = re.compile(f"[{CJK}]|[^\\W_{CJK}]+")
 _ASCII_TOKEN = re.compile(r"[A-Za-z0-9]+")
+#: Letters of other alphabets that look like Latin ones, after case folding.
+_LOOKALIKES = str.maketrans("аеіјкмнорсухѕԁвтһαειкνορτυχς", "aeijkmhopcyxsdbthaeiknoptuxc")
 _MOJIBAKE = re.compile("[Â-ô][\u0080-¿Œ-ƒ–-™€]")
 
 
@@ -43,11 +45,12 @@ def repair(text: str) -> str:
 
 
 def fold_tokens(text: str) -> list[str]:
-    """Folded words; in scripts without spaces, characters."""
+    """Folded words (look-alike letters as one); in scripts without spaces, characters."""
     text = repair(text)
     if "<" in text:
         text = _TAG.sub(" ", text)
     if text.isascii():
         return _ASCII_TOKEN.findall(text.lower())
     text = _MARKS.sub("", unicodedata.normalize("NFKD", _HIDDEN.sub("", text))).casefold()
-    return _TOKEN.findall(text)
+    # look-alikes fold alike on both sides, so Cyrillic texts still match each other
+    return _TOKEN.findall(text.translate(_LOOKALIKES))
