@@ -111,7 +111,7 @@ def features(text: str) -> tuple[str, list[float], float] | None:
     n = len(words)
     linked = sum(len(m) - m.count(" ") for m in _ANCHOR.findall(text)) if _LINK in bare else 0
     counts = Counter(words)
-    lang = guess(words)
+    lang = guess(counts)
     cjk = lang in ("cmn", "jpn")
     fn = {w for w in counts if is_function(w)}
     share = 0.06 if cjk else 0.12

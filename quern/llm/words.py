@@ -21,7 +21,6 @@ _HAN = set("的了是在不和这那也有被把与就而但却为着过给等
 _KANA = re.compile("[ぁ-ゖァ-ヺー]")
 _PARTICLE = set("のはがをにでともへやかな")
 HAN = re.compile("[㐀-䶿一-鿿豈-﫿]")
-_CYR = re.compile("[Ѐ-ӿ]")
 
 _OF_WORD: dict[str, tuple[str, ...]] = {}
 for _l, _ws in FUNCTION_WORDS.items():
@@ -40,21 +39,25 @@ def is_function(word: str) -> bool:
     return len(word) == 1 and (word in _HAN or word in _PARTICLE)
 
 
-def guess(tokens: list[str]) -> str:
-    """The language most function words point to; by script for Chinese and Japanese; ``und`` without evidence."""
+def guess(counts: dict[str, int]) -> str:
+    """The language most function words point to, of the counts of a text's words; by script for Chinese and Japanese; ``und`` without evidence."""
     score = dict.fromkeys(LANGS, 0)
-    han = kana = 0
-    for t in tokens:
+    han = kana = cyrillic = total = 0
+    for t, k in counts.items():
+        total += k
         for lang in _OF_WORD.get(t, ()):
-            score[lang] += 1
-        if len(t) == 1 and t > "⺀":
-            if HAN.match(t):
-                han += 1
-            elif _KANA.match(t):
-                kana += 1
-    if han + kana > len(tokens) / 4:
+            score[lang] += k
+        if t > "Ѐ":
+            if t < "԰":
+                cyrillic += k
+            elif len(t) == 1 and t > "⺀":
+                if HAN.match(t):
+                    han += k
+                elif _KANA.match(t):
+                    kana += k
+    if han + kana > total / 4:
         return "jpn" if kana * 8 > han else "cmn"
     best = max(score, key=score.get)
-    if score[best] >= max(2, 0.03 * len(tokens)):
+    if score[best] >= max(2, 0.03 * total):
         return best
-    return "rus" if any(_CYR.match(t) for t in tokens[:50]) else "und"
+    return "rus" if cyrillic * 4 > total else "und"
