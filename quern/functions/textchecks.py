@@ -60,11 +60,11 @@ def detect_language(text: Column) -> Column:
     """A language by script and function words, in plain expressions; null below ten characters."""
     clean = F.lower(F.regexp_replace(text, r"\[[^\]]*\]|`[^`]*`", " "))
     words = F.regexp_extract_all(clean, F.lit(r"(\p{L}+)"), F.lit(1))
-    hits = {lang: F.size(F.array_intersect(F.array_distinct(words), F.array(*map(F.lit, s.split())))) for lang, s in STOP_WORDS.items()}
-    best = F.greatest(*hits.values())
-    latin = F.lit(None).cast("string")
-    for lang in reversed(list(hits)):
-        latin = F.when((hits[lang] == best) & (best > 0), lang).otherwise(latin)
+    names = F.array(*map(F.lit, STOP_WORDS))
+    count = lambda ws: F.array(*[F.size(F.array_intersect(ws, F.array(*map(F.lit, s.split())))) for s in STOP_WORDS.values()])
+    # an array of one value, transformed, binds the value: words and counts are worked out once
+    first = lambda hits: F.when(F.array_max(hits) > 0, F.get(names, (F.array_position(hits, F.array_max(hits)) - 1).cast("int")))
+    latin = F.get(F.transform(F.transform(F.array(F.array_distinct(words)), count), first), F.lit(0))
     return (
         F.when(F.length(F.trim(clean)) < 10, F.lit(None).cast("string"))
         .when(clean.rlike("[぀-ヿ]"), "jpn")

@@ -146,7 +146,7 @@ def duplicate_openers(spark, sf_dir):
     return _openers(spark, sf_dir).groupBy("opener").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query()
+@query(_with(f" SELECT closing, n FROM (SELECT left(trim(list_last(string_split(regexp_replace(rtrim(reflection), '\\.+$', ''), '.'))), 80) AS closing, count(*) AS n FROM {_FV} GROUP BY 1) WHERE n > 1"))
 def duplicate_closings(spark, sf_dir):
     return _openers(spark, sf_dir).groupBy("closing").agg(F.count("*").alias("n")).where("n > 1")
 

@@ -34,7 +34,10 @@ def judge_messages(spark, sf_dir):
     return v.select("item_id", "iteration", body.alias("prompt"))
 
 
-@query()
+@query(
+    _with(f"""SELECT it.item_id, it.iteration, it.reflection, it.reflection_point, CASE WHEN c.ids IS NULL THEN '[]' ELSE '["' || c.ids || '"]' END AS citations
+    FROM it LEFT JOIN (SELECT item_id, iteration, string_agg(id, '","' ORDER BY ord) AS ids FROM ({_cites('reflection')}) GROUP BY 1, 2) c USING (item_id, iteration)""")
+)
 def annotation_rows(spark, sf_dir):
     """Output rows of the annotation run: text, point and the citations as a JSON list."""
     v = _versions(spark, sf_dir, "reflection", "reflection_point")
