@@ -20,19 +20,28 @@ def pearson(x: Column, y: Column, least: int = 2) -> Column:
     return F.when((n >= least) & (vx > 0) & (vy > 0), (n * sxy - sx * sy) / (F.sqrt(vx) * F.sqrt(vy)))
 
 
-def average_ranks(df: DataFrame, value: str, name: str, *group: str) -> DataFrame:
-    """Ranks within groups, ties sharing their mean."""
-    w = Window.partitionBy(*group)
-    return df.withColumn(name, F.rank().over(w.orderBy(value)) + (F.count("*").over(w.partitionBy(*group, value)) - 1) / F.lit(2.0))
-
-
 def spearman(df: DataFrame, x: str, y: str, *group: str) -> DataFrame:
-    """Per group: pairs and Spearman's rho with average ranks."""
+    """Per group: pairs and Spearman's rho with average ranks.
+
+    All comes from the counts of distinct pairs of values: ranks from the margins'
+    running counts, sums weighted by count. No group's rows are sorted.
+    """
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = average_ranks(average_ranks(both, x, "_rx", *group), y, "_ry", *group)
-    # ranks are multiples of a half: doubled, they are whole numbers
-    a, b = (F.col("_rx") * 2).cast("bigint"), (F.col("_ry") * 2).cast("bigint")
-    return ranked.groupBy(*group).agg(F.count("*").alias("n"), pearson(a, b).alias("spearman"))
+    joint = both.groupBy(*group, x, y).agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*group)
+    for value, name in ((x, "_rx"), (y, "_ry")):
+        margin = joint.groupBy(*group, value).agg(F.sum("_c").alias("_m"))
+        upto = F.sum("_m").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        # twice the average rank, a whole number: the last rank of a tie plus the first
+        ranks = margin.select(*group, value, (2 * upto - F.col("_m") + 1).alias(name))
+        joint = joint.join(ranks, [*group, value])
+    n = F.sum("_c").cast("double")
+    s = lambda e: F.sum(F.col("_c") * e).cast("double")
+    a, b = F.col("_rx"), F.col("_ry")
+    sx, sy, sxx, syy, sxy = s(a), s(b), s(a * a), s(b * b), s(a * b)
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    rho = F.when((n >= 2) & (vx > 0) & (vy > 0), (n * sxy - sx * sy) / (F.sqrt(vx) * F.sqrt(vy)))
+    return joint.groupBy(*group).agg(F.sum("_c").alias("n"), rho.alias("spearman"))
 
 
 def kappa(a: Column, b: Column, flavour: str = "rank") -> Column:

@@ -191,7 +191,7 @@ def explode_members(df: DataFrame, keys: list[str], fields: dict[str, Column]) -
 
 def packed_elements(items: DataFrame, charter_elements: DataFrame) -> DataFrame:
     """Problem 1 over whole tables: each element of both fields, once per item version."""
-    known = [r[0] for r in charter_elements.select("element_id").where("element_id is not null").distinct().limit(10_000).collect()]
+    known = [r[0] for r in charter_elements.select("element_id").where("element_id is not null").distinct().collect()]  # a fixed vocabulary
     versions = item_versions(items, "reflection", "reflection_charter_elements")
     return explode_members(
         versions,

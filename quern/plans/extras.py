@@ -47,7 +47,7 @@ def annotation_rows(spark, sf_dir):
 @query()
 def hover_html(spark, sf_dir):
     """Reflections as HTML whose citations carry the titles of the (small, fixed) element table."""
-    titles = {r["element_id"]: r["title"] for r in load(spark, sf_dir, "charter_elements").limit(1000).collect()}
+    titles = {r["element_id"]: r["title"] for r in load(spark, sf_dir, "charter_elements").collect()}
     v = _versions(spark, sf_dir, "reflection").where("reflection is not null")
     return v.select("item_id", "iteration", H.hover_citations(F.col("reflection"), titles).alias("html"))
 
@@ -76,10 +76,10 @@ def test_results(spark, sf_dir):
 
 @query(f"SELECT e.title, count(*) AS n_versions FROM ({_cites('reflection')}) c JOIN charter_elements e ON e.element_id = c.id GROUP BY 1")
 def citation_titles(spark, sf_dir):
-    e = load(spark, sf_dir, "charter_elements").select(F.col("element_id").alias("id"), "title").limit(10_000)
+    e = load(spark, sf_dir, "charter_elements").select(F.col("element_id").alias("id"), "title")
     v = _versions(spark, sf_dir, "reflection")
     cited = v.select("item_id", "iteration", F.explode(C.cited_ids(F.col("reflection"), _known(spark, sf_dir))).alias("id"))
-    return cited.join(F.broadcast(e), "id").groupBy("title").agg(F.countDistinct("item_id", "iteration").alias("n_versions"))
+    return cited.join(e, "id").groupBy("title").agg(F.countDistinct("item_id", "iteration").alias("n_versions"))
 
 
 @query(_with("SELECT DISTINCT voice FROM leaf"))
@@ -139,7 +139,7 @@ def observed_counts(spark, sf_dir):
 @query("SELECT element_id AS id, title, (length(title))::int AS width FROM charter_elements")
 def spec_section_list(spark, sf_dir):
     """The specification, here rebuilt from its elements, cut into sections again."""
-    rows = load(spark, sf_dir, "charter_elements").orderBy("section_order").limit(1000).collect()  # a small, fixed table
+    rows = load(spark, sf_dir, "charter_elements").orderBy("section_order").collect()  # a small, fixed table
     text = "# Values\n" + "\n".join(f"### {r['element_id']} {r['title']}\n{r['title']}" for r in rows)
     return spark.createDataFrame([(i, t, len(b)) for i, t, b in H.spec_sections(text)], "id string, title string, width int")
 

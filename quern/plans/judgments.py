@@ -286,7 +286,7 @@ def rejudge_queue(spark, sf_dir):
     items = load(spark, sf_dir, "items")
     seen = reviews(spark, sf_dir).select("item_id", "iteration").distinct()
     # prompts and models are a handful, so the work list is that many times the reviewed versions
-    kinds = items.where("gen_prompt like '%\\_v1.md'").select("gen_prompt", "model").distinct().limit(1000).collect()
+    kinds = items.where("gen_prompt like '%\\_v1.md'").select("gen_prompt", "model").distinct().collect()
     fan = F.array(*[F.struct(F.lit(k["gen_prompt"]).alias("gen_prompt"), F.lit(k["model"]).alias("model")) for k in kinds])
     queue = seen.select("item_id", "iteration", F.explode(fan).alias("k")).select("item_id", "iteration", "k.gen_prompt", "k.model") if kinds else seen.select("item_id", "iteration", F.lit("").alias("gen_prompt"), F.lit("").alias("model")).limit(0)
     return queue.join(items.select("item_id", "iteration", "gen_prompt", "model").distinct(), ["item_id", "iteration", "gen_prompt", "model"], "left_anti")

@@ -10,6 +10,8 @@ from quern.functions import stats as S
 from quern.functions.ids import content_id
 from quern.operators import annotate as A
 from quern.operators.latest import keep_last
+from quern.operators.ranking import bucketed_rank
+from quern.operators.sampling import first_per_group
 from quern.plans.judgments import CTES, judged
 from quern.plans.registry import Catalogue
 from quern.sources.state import progress
@@ -87,11 +89,11 @@ def options(spark, sf_dir):
     return spark.createDataFrame([("(all)", 0)], "option string, k int").unionByName(d).orderBy("k", "option")
 
 
-@query("SELECT item_id, count(*) AS n, string_agg(comment_text, chr(10) ORDER BY created_at, comment_id) AS thread FROM comments WHERE item_id IS NOT NULL GROUP BY 1")
+@query("SELECT item_id, comment_id, comment_text, row_number() OVER (PARTITION BY item_id ORDER BY created_at, comment_id) AS place FROM comments WHERE item_id IS NOT NULL AND created_at IS NOT NULL")
 def comment_threads(spark, sf_dir):
-    c = load(spark, sf_dir, "comments").where("item_id is not null")
-    rows = F.array_sort(F.collect_list(F.struct("created_at", "comment_id", "comment_text")))
-    return c.groupBy("item_id").agg(F.count("*").alias("n"), F.array_join(F.transform(rows, lambda r: r["comment_text"]), "\n").alias("thread"))
+    """Comments in the order of their thread, ranked by day and then inside the day."""
+    c = load(spark, sf_dir, "comments").where("item_id is not null and created_at is not null").select("item_id", "comment_id", "comment_text", "created_at")
+    return bucketed_rank(c, ["item_id"], F.to_date("created_at"), ["created_at", "comment_id"]).drop("created_at")
 
 
 @query(_with("SELECT min_by(model, latency) AS fastest, max_by(model, n) AS busiest, min(latency) AS least_ms, max(n) AS most FROM (SELECT model, min(latency_ms) AS latency, count(*) AS n FROM it GROUP BY 1)"))
@@ -145,9 +147,11 @@ _REQ = "r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts,
 def throughput_stats(spark, sf_dir):
     """Rates from all rows; figures of values without the first and last five of each kind."""
     e = load(spark, sf_dir, "events").select("event_id", "ts", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("v"))
-    w = Window.partitionBy("event_type")
-    r = e.withColumn("i", F.row_number().over(w.orderBy("ts", "event_id")) - 1).withColumn("n", F.count("*").over(w))
-    v = F.when((F.col("i") >= 5) & (F.col("i") < F.col("n") - 5), F.col("v"))
+    # only the ends of each kind are ranked, and Spark keeps five rows a task of these
+    ends = [first_per_group(e.select("event_id", "ts", "event_type"), "event_type", 5, *o) for o in (("ts", "event_id"), (F.desc("ts"), F.desc("event_id")))]
+    edge = ends[0].unionByName(ends[1]).select("event_id").distinct().withColumn("_edge", F.lit(True))
+    r = e.join(F.broadcast(edge), "event_id", "left")  # ten rows a kind of event
+    v = F.when(F.col("_edge").isNull(), F.col("v"))
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     return r.groupBy("event_type").agg(
         F.count("*").alias("n"), F.try_divide(F.sum(v).cast("double"), F.count(v)).alias("mean_v"), F.median(v).alias("median_v"), F.percentile(v, F.lit(0.25)).alias("p25"), F.percentile(v, F.lit(0.75)).alias("p75"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quern.functions.cutpoints import sampled_index, token_count
 from quern.functions.ids import content_id, seeded, uniform
 from quern.operators.latest import keep_first
+from quern.operators.ranking import bucketed_rank
 from quern.operators.sampling import balanced, first_per_group, gold_and_fresh, per_shard_reservoir, reservoir, round_robin, top_up
 from quern.plans.registry import Catalogue
 from quern.tables import load
@@ -81,11 +82,11 @@ def round_robin_sample(spark, sf_dir):
 
 @query("SELECT r AS reviewer, item_id, (row_number() OVER (PARTITION BY r ORDER BY sha256(concat_ws('|', 'order', r, item_id)), item_id))::int AS place FROM (SELECT DISTINCT item_id FROM annotations), (VALUES ('ann-02'), ('ann-05')) t(r)")
 def reviewer_permutation(spark, sf_dir):
-    from pyspark.sql import Window
-
     ids = load(spark, sf_dir, "annotations").select("item_id").distinct().withColumn("reviewer", F.explode(F.array(F.lit("ann-02"), F.lit("ann-05"))))
-    rank = F.row_number().over(Window.partitionBy("reviewer").orderBy(seeded("order", F.col("reviewer"), F.col("item_id")), "item_id"))
-    return ids.withColumn("place", rank)
+    ids = ids.withColumn("_h", seeded("order", F.col("reviewer"), F.col("item_id")))
+    # buckets of the hash's first digits keep its order
+    ranked = bucketed_rank(ids, ["reviewer"], F.substring("_h", 1, 3), ["_h", "item_id"]).drop("_h")
+    return ranked.withColumn("place", F.col("place").cast("int"))
 
 
 @query(

@@ -198,3 +198,15 @@ def test_rendering(spark):
     slim = H.strip_heavy(spark.createDataFrame([(1, "x", {"v": ({"a": 1}, "long", "long")})], schema), "j", columns=("raw",))
     assert slim.columns == ["id", "j"] and slim.first().j["v"].asDict() == {"scores": {"a": 1}}
     assert spark.createDataFrame([("a\x00b￿",)], "t string").select(H.sanitize(F.col("t")).alias("t")).first().t == "a�b�"
+
+
+def test_bucketed_rank_is_row_number(spark):
+    from pyspark.sql import Window
+
+    from quern.operators.ranking import bucketed_rank
+
+    df = spark.createDataFrame([(None if k % 7 == 0 else "hot" if k % 3 else "b", k % 5, (k * 37) % 101) for k in range(200)], "g string, n int, v int")
+    got = bucketed_rank(df, ["g"], F.floor(F.col("v") / 10), ["v", "n"])
+    want = df.withColumn("place", F.row_number().over(Window.partitionBy("g").orderBy("v", "n")).cast("bigint"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert bucketed_rank(df.limit(0), ["g"], F.col("v"), ["v"]).collect() == []
