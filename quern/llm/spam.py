@@ -14,7 +14,7 @@ The features are computed in one pass over whole texts and written once; medians
 and moments are partial aggregates over that narrow table, so neither a hot
 site nor a hot language gathers rows in one task.
 
-Defined results: null, empty and blank texts are no cases; repeated documents
+Defined results: null, empty and blank texts and null ids are no cases; repeated documents
 are cases each; a language with fewer than ``LEAST`` documents uses the figures
 of all documents, as do texts of no telling language; an empty table gives no rows.
 """
@@ -158,7 +158,7 @@ def spam_features(documents: DataFrame) -> DataFrame:
             rows = [(d, got[0], *got[1], got[2]) for d, t in zip(pdf["doc_id"], pdf["text"]) if (got := features(t)) is not None]
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInPandas(run, schema)
+    return documents.select("doc_id", "text").where("doc_id is not null and text is not null").mapInPandas(run, schema)
 
 
 def _robust(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, int]]:

@@ -36,11 +36,11 @@ def test_fine_share(text):
 
 def test_scores_by_language(spark, tables):
     base = tables("documents", "sf0.01").select("doc_id", "text", "lang")
-    more = [(10_000_000 + k, t, "en") for k, t in enumerate(SPAM)] + [(20_000_000 + k, t, None) for k, t in enumerate(FINE)] + [(3, None, "en"), (4, "", "en"), (5, "  \n ", "en"), (6, "?!", "en"), (7, PROSE * 2000, "en")]
+    more = [(10_000_000 + k, t, "en") for k, t in enumerate(SPAM)] + [(20_000_000 + k, t, None) for k, t in enumerate(FINE)] + [(None, SPAM[0], "en"), (3, None, "en"), (4, "", "en"), (5, "  \n ", "en"), (6, "?!", "en"), (7, PROSE * 2000, "en")]
     docs = base.unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string"))
     found = {r.doc_id: r.is_spam for r in spam_scores(docs.selectExpr("*", "1 as links", "true as is_spam", "'x' as lang_guess")).collect()}
     assert all(found[10_000_000 + k] for k in range(len(SPAM))) and not any(found[20_000_000 + k] for k in range(len(FINE)))
-    assert found[7] is False and 0 < sum(found[r.doc_id] for r in base.collect() if r.doc_id in found) < 80
+    assert None not in found and found[7] is False and 0 < sum(found[r.doc_id] for r in base.collect() if r.doc_id in found) < 80
 
 
 def test_empty_table(spark, tables):
