@@ -30,3 +30,8 @@ def drop_reason(doc_id: Column, language: Column, languages: list[str], keep: Co
         .when(~keep, "safety")
         .otherwise("kept")
     )
+
+
+def keep_filter(doc_id: Column, language: Column, languages: list[str], score: Column, probs: Column, least_score: int, least_confidence: float) -> Column:
+    """What ``drop_reason`` calls ``kept``, as plain conjuncts: all but the last are pushed to the scan."""
+    return doc_id.isNotNull() & (doc_id != "") & language.isin(languages) & (score >= least_score) & (confidence(score, probs) >= F.lit(least_confidence))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quern.functions.ids import content_id, fingerprint, prompt_version, review_split
-from quern.functions.safety import confidence, drop_reason, in_band, passes_safety
+from quern.functions.safety import confidence, drop_reason, in_band, keep_filter, passes_safety
 from quern.operators.latest import attempt_numbers, given_up, keep_first, keep_last, todo
 from quern.plans.registry import Catalogue
 from quern.sources.corpus import stride
@@ -29,7 +29,8 @@ def _reasoned(spark, sf_dir):
 
 @query(f"SELECT id, coalesce(text, '') AS text, safety_score, lang AS language, source_shard, left(sha256(left(coalesce(text, ''), 200)), 16) AS content_id FROM documents WHERE {_REASON} = 'kept'")
 def prefilter_keep(spark, sf_dir):
-    kept = _reasoned(spark, sf_dir).where("reason = 'kept'").withColumn("text", F.coalesce("text", F.lit("")))
+    keep = keep_filter(F.col("id"), F.col("lang"), TARGET, F.col("safety_score"), F.col("safety_probs"), 2, 0.8)
+    kept = load(spark, sf_dir, "documents").where(keep).withColumn("text", F.coalesce("text", F.lit("")))
     return kept.select("id", "text", "safety_score", F.col("lang").alias("language"), "source_shard", content_id(F.col("text")).alias("content_id"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions import citations as C
 from quern.functions import rendering as H
 from quern.functions.ids import content_id
-from quern.functions.safety import drop_reason, passes_safety
+from quern.functions.safety import keep_filter
 from quern.plans.judgments import CTES, _leaves, judged
 from quern.plans.registry import Catalogue
 from quern.plans.text import _cites, _known, _versions
@@ -148,8 +148,7 @@ def spec_section_list(spark, sf_dir):
 def prefilter_loose(spark, sf_dir):
     """The same scan under other thresholds and languages."""
     docs = load(spark, sf_dir, "documents")
-    good = passes_safety(F.col("safety_score"), F.col("safety_probs"), 1, 0.6)
-    kept = docs.where(drop_reason(F.col("id"), F.col("lang"), ["en", "deu"], good) == "kept")
+    kept = docs.where(keep_filter(F.col("id"), F.col("lang"), ["en", "deu"], F.col("safety_score"), F.col("safety_probs"), 1, 0.6))
     return kept.groupBy(content_id(F.col("text")).alias("content_id"), "lang").agg(F.count("*").alias("n"))
 
 
