@@ -16,12 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.functions.textchecks import KEYS
+from quern.functions.textchecks import LEAK
 
 _FENCE = re.compile(r"```[a-zA-Z]*\s*\n?(.*?)```", re.S)
+_LEAK = re.compile(LEAK)
 _BAD_ESCAPE = re.compile(r'\\(?!["\\/bfnrtu])')
-#: Older names of the answer's keys.
-ALIASES = {"reflection_first_person": "reflection_1p", "first_person_reflection": "reflection_1p", "analysis_text": "analysis"}
+#: Other spellings of the answer's keys.
+ALIASES = {
+    "reflection": "reflection_1p",
+    "reflection_first_person": "reflection_1p",
+    "reflectio_n_1p": "reflection_1p",
+    "reflecting_1p": "reflection_1p",
+}
 
 
 def object_at(s: str, start: int) -> str | None:
@@ -57,10 +63,14 @@ def objects(s: str) -> Iterator[str]:
 
 
 def mend(s: str) -> str:
-    """A lenient repair: single quotes, trailing commas, bare words, and brackets or strings left open."""
+    """A lenient repair: single quotes, quotes inside strings, stray braces, trailing commas, and what was left open.
+
+    A quote ends its string only where a comma, colon, bracket or the end
+    follows; a brace where a key is due is dropped, so halves join.
+    """
     out: list[str] = []
     stack: list[str] = []
-    quote, i = "", 0
+    quote, last, i = "", "", 0
     while i < len(s):
         ch = s[i]
         if quote:
@@ -68,23 +78,30 @@ def mend(s: str) -> str:
                 out.append(s[i : i + 2])
                 i += 2
                 continue
-            if ch == quote:
+            if ch == quote and s[i + 1 :].lstrip()[:1] in ("", ",", ":", "}", "]"):
                 out.append('"')
-                quote = ""
+                quote, last = "", '"'
             else:
                 out.append({"\n": "\\n", "\t": "\\t", '"': '\\"'}.get(ch, ch))
         elif ch in "\"'":
             quote = ch
             out.append('"')
+        elif ch == "{" and last == "," and stack[-1:] == ["}"]:
+            pass
         elif ch in "{[":
             stack.append("}" if ch == "{" else "]")
             out.append(ch)
+            last = ch
         elif ch in "}]":
             if stack:
                 stack.pop()
                 out.append(ch)
+                last = ch
+            if not stack:
+                break
         else:
             out.append(ch)
+            last = ch if not ch.isspace() else last
         i += 1
     text = "".join(out) + ('"' if quote else "") + "".join(reversed(stack))
     text = re.sub(r",\s*([}\]])", r"\1", text)
@@ -136,7 +153,11 @@ def normalise(got: dict) -> dict:
                 got = inner
                 continue
         break
-    return {ALIASES.get(k, k): v for k, v in got.items()}
+    out = dict(got)
+    for other, name in ALIASES.items():
+        if other in out and name not in out:
+            out[name] = out.pop(other)
+    return out
 
 
 def _text(v: object) -> str | None:
@@ -154,10 +175,14 @@ def parse_answer(raw: str | None, required: tuple[str, ...] = ("analysis", "refl
         return None, None, "parse", "no object"
     got = normalise(got)
     missing = [k for k in required if k not in got]
+    if missing and (again := _load(mend(raw[raw.find("{") :]))) is not None:
+        again = normalise(again)
+        if all(k in again for k in required):
+            got, missing = again, []
     if missing:
         return None, None, "parse", "missing " + ", ".join(missing)
     answer = _text(got["reflection_1p"])
-    if answer and re.search(rf'"(?:{"|".join(KEYS)})"\s*:', answer):
+    if answer and _LEAK.search(answer):
         return None, None, "parse", "key in text"
     return _text(got["analysis"]), answer, None, None
 

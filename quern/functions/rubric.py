@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 
 #: A score at or below the floor rejects; so does a mean below the threshold.
 FLOOR, THRESHOLD = 2, 4
-#: Keys of a judgment that are no voices.
-RESERVED = ("decision", "aggregate", "model", "usage", "error")
+#: Keys of a judgment that are no voices.
+RESERVED = (
+    "aggregate",
+    "decision",
+    "judge_prompt",
+    "raw_responses",
+    "usage",
+    "latency_ms",
+    "timestamp",
+    "reflection_aggregate",
+    "reflection_decision",
+    "judge_prompt_reflection",
+)
 
 
 def leaf_scores(scores: Column) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Keys of the answer object that must not show up inside its text.
-KEYS = ("reflection_1p", "reflection", "reflection_charter_elements")
+#: Keys of the answer object that must not show up inside its text, bare or quoted.
+BARE_KEYS = ("reflection_1p",)
+QUOTED_KEYS = ("analysis", "reflection_1p")
+LEAK = rf'(?<![A-Za-z0-9_])(?:{"|".join(BARE_KEYS)})(?![A-Za-z0-9_])|"(?:{"|".join(QUOTED_KEYS)})"'
 
 #: Common function words by which ``detect_language`` tells the languages of the Latin alphabet apart.
 STOP_WORDS = {
@@ -18,15 +20,14 @@ STOP_WORDS = {
 }
 
 
-def leaks_key(text: Column, keys: tuple[str, ...] = KEYS) -> Column:
-    """Whether a key stands in the text, quoted or bare between non-identifier characters."""
-    alt = "|".join(keys)
-    return F.coalesce(text.rlike(rf'(?<![A-Za-z0-9_])(?:{alt})(?![A-Za-z0-9_])|"(?:{alt})"'), F.lit(False))
+def leaks_key(text: Column) -> Column:
+    """Whether a key stands in the text: any in quotes, or an unmistakable one bare between non-identifier characters."""
+    return F.coalesce(text.rlike(LEAK), F.lit(False))
 
 
 def script_of(text: Column) -> Column:
-    """``cjk``, ``cyrillic``, ``latin`` or ``?``: the first that occurs."""
-    return F.when(text.rlike("[぀-ヿ一-鿿]"), "cjk").when(text.rlike("[Ѐ-ӿ]"), "cyrillic").when(text.rlike("[A-Za-z]"), "latin").otherwise("?")
+    """``CJK``, ``cyrillic``, ``latin`` or ``?``: the first that occurs."""
+    return F.when(text.rlike("[぀-ヿ一-鿿]"), "CJK").when(text.rlike("[Ѐ-ӿ]"), "cyrillic").when(text.rlike("[A-Za-z]"), "latin").otherwise("?")
 
 
 def looks_truncated(text: Column, below: int = 800) -> Column:

@@ -58,7 +58,7 @@ def _leaves(spark, sf_dir):
 
 
 def _with(sql):
-    return f"WITH {CTES} {sql}"
+    return f"WITH {CTES}{sql if sql.startswith(',') else ' ' + sql}"
 
 
 _MEAN = "coalesce(sum(cents)::double / (100.0::double * nullif(count(cents), 0)), 0.0::double)"
@@ -128,7 +128,7 @@ _RUB = "CASE WHEN l.n IS NULL THEN NULL WHEN l.low <= 2 OR l.s::double / l.n < 4
 _LV = "l AS (SELECT review_seq, min(score) AS low, sum(score)::bigint AS s, count(*) AS n FROM leaf GROUP BY 1)"
 
 
-@query(_with(f", {_LV} SELECT jd.review_seq, l.s::double / l.n AS mean_score, {_RUB} AS rubric FROM jd LEFT JOIN l USING (review_seq)".lstrip()).replace("score IS NOT NULL) ,", "score IS NOT NULL),"))
+@query(_with(f", {_LV} SELECT jd.review_seq, l.s::double / l.n AS mean_score, {_RUB} AS rubric FROM jd LEFT JOIN l USING (review_seq)"))
 def rubric_decision(spark, sf_dir):
     return judged(spark, sf_dir).select("review_seq", R.mean_score(F.col("scores")).alias("mean_score"), R.rubric_decision(F.col("scores")).alias("rubric"))
 
@@ -160,7 +160,7 @@ def reviewer_all(spark, sf_dir):
     return judged(spark, sf_dir).select("item_id", "iteration", "judge", "decision", "cents")
 
 
-@query(_with(", c AS (SELECT item_id, iteration, decision, count(*) AS n, min(review_seq) AS f FROM jd WHERE decision IS NOT NULL GROUP BY 1, 2, 3) SELECT item_id, iteration, decision, tot AS n_votes FROM (SELECT *, sum(n) OVER (PARTITION BY item_id, iteration)::bigint AS tot, row_number() OVER (PARTITION BY item_id, iteration ORDER BY n DESC, f) AS rn FROM c) WHERE rn = 1").replace("score IS NOT NULL) ,", "score IS NOT NULL),"))
+@query(_with(", c AS (SELECT item_id, iteration, decision, count(*) AS n, min(review_seq) AS f FROM jd WHERE decision IS NOT NULL GROUP BY 1, 2, 3) SELECT item_id, iteration, decision, tot AS n_votes FROM (SELECT *, sum(n) OVER (PARTITION BY item_id, iteration)::bigint AS tot, row_number() OVER (PARTITION BY item_id, iteration ORDER BY n DESC, f) AS rn FROM c) WHERE rn = 1"))
 def majority_decision(spark, sf_dir):
     return R.majority(judged(spark, sf_dir), ["item_id", "iteration"], "decision", "review_seq")
 
@@ -257,8 +257,7 @@ _HUM = f"""h AS (SELECT item_id, iteration, count(*) AS n_reviews, round(avg(cen
 @query(f"WITH {CTES}, {_HUM} SELECT judge, count(*) AS n, {_pearson_sql('x', 'y')} AS pearson, {_CONC} AS concordance, {_kappa_sql('a', 'b')} AS kappa FROM c GROUP BY 1")
 def judge_vs_human(spark, sf_dir):
     j = judged(spark, sf_dir)
-    yes = F.coalesce(F.sum(F.when(F.col("decision").isNotNull(), (F.col("decision") == "accept").cast("int"))), F.lit(None))
-    no = F.sum(F.when(F.col("decision").isNotNull(), (F.col("decision") == "reject").cast("int")))
+    yes, no = (F.sum(F.when(F.col("decision").isNotNull(), (F.col("decision") == d).cast("int"))) for d in ("accept", "reject"))
     h = j.groupBy("item_id", "iteration").agg(F.count("*").alias("n_reviews"), F.round(F.avg("cents")).cast("bigint").alias("y"), F.when(yes >= no, "accept").otherwise("reject").alias("b")).where("n_reviews > 1")
     c = j.select("judge", "item_id", "iteration", F.col("cents").alias("x"), F.col("decision").alias("a")).join(h, ["item_id", "iteration"])
     a, b = F.col("a"), F.col("b")
@@ -281,7 +280,7 @@ def versions_top5(spark, sf_dir):
     return v.withColumn("rn", F.row_number().over(Window.partitionBy("model").orderBy(F.desc("version")))).where("rn <= 5").drop("rn")
 
 
-@query(_with(", q AS (SELECT DISTINCT r.item_id, r.iteration, p.gen_prompt, p.model FROM (SELECT DISTINCT item_id, iteration FROM rv) r, (SELECT DISTINCT gen_prompt, model FROM it WHERE gen_prompt LIKE '%_v1.md') p) SELECT item_id, iteration, gen_prompt, model FROM q WHERE NOT EXISTS (SELECT 1 FROM it WHERE it.item_id = q.item_id AND it.iteration = q.iteration AND it.gen_prompt = q.gen_prompt AND it.model = q.model)").replace("score IS NOT NULL) ,", "score IS NOT NULL),"))
+@query(_with(", q AS (SELECT DISTINCT r.item_id, r.iteration, p.gen_prompt, p.model FROM (SELECT DISTINCT item_id, iteration FROM rv) r, (SELECT DISTINCT gen_prompt, model FROM it WHERE gen_prompt LIKE '%_v1.md') p) SELECT item_id, iteration, gen_prompt, model FROM q WHERE NOT EXISTS (SELECT 1 FROM it WHERE it.item_id = q.item_id AND it.iteration = q.iteration AND it.gen_prompt = q.gen_prompt AND it.model = q.model)"))
 def rejudge_queue(spark, sf_dir):
     items = load(spark, sf_dir, "items")
     seen = reviews(spark, sf_dir).select("item_id", "iteration").distinct()

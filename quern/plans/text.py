@@ -138,12 +138,12 @@ def spec_id_list(spark, sf_dir):
     return lines.select(F.size(ids).alias("n_ids"), F.array_join(ids, "|").alias("ids"))
 
 
-@query(f"SELECT item_id, iteration, coalesce(regexp_matches(raw_response, '(^|[^A-Za-z0-9_])(reflection_1p|reflection|reflection_charter_elements)([^A-Za-z0-9_]|$)'), false) AS leaks FROM {_FIRST}")
+@query(f"""SELECT item_id, iteration, coalesce(regexp_matches(raw_response, '(^|[^A-Za-z0-9_])reflection_1p([^A-Za-z0-9_]|$)|"(analysis|reflection_1p)"'), false) AS leaks FROM {_FIRST}""")
 def key_leak_guard(spark, sf_dir):
     return _versions(spark, sf_dir, "raw_response").select("item_id", "iteration", X.leaks_key(F.col("raw_response")).alias("leaks"))
 
 
-@query("SELECT doc_id, CASE WHEN regexp_matches(text, '[぀-ヿ一-鿿]') THEN 'cjk' WHEN regexp_matches(text, '[Ѐ-ӿ]') THEN 'cyrillic' WHEN regexp_matches(text, '[A-Za-z]') THEN 'latin' ELSE '?' END AS script FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, CASE WHEN regexp_matches(text, '[぀-ヿ一-鿿]') THEN 'CJK' WHEN regexp_matches(text, '[Ѐ-ӿ]') THEN 'cyrillic' WHEN regexp_matches(text, '[A-Za-z]') THEN 'latin' ELSE '?' END AS script FROM documents WHERE text IS NOT NULL")
 def script_class(spark, sf_dir):
     return load(spark, sf_dir, "documents").where("text is not null").select("doc_id", X.script_of(F.col("text")).alias("script"))
 

@@ -105,9 +105,10 @@ def test_sampled_index_follows_the_ramp(spark):
 
 
 def test_text_checks(spark):
-    assert one(spark, 'and "reflection" too', "string", X.leaks_key) and not one(spark, "my_reflection_x", "string", X.leaks_key)
+    for text, leaks in (('and "analysis" too', True), ("reflection_1p: oops", True), ("the reflection_1p_variant idea", False), ("a reflection", False)):
+        assert one(spark, text, "string", X.leaks_key) is leaks
     assert not one(spark, None, "string", X.leaks_key)
-    assert [one(spark, t, "string", X.script_of) for t in ("abc 中", "abc я", "abc", "123")] == ["cjk", "cyrillic", "latin", "?"]
+    assert [one(spark, t, "string", X.script_of) for t in ("abc 中", "abc я", "abc", "123")] == ["CJK", "cyrillic", "latin", "?"]
     assert one(spark, '{"a": {"b"', "string", X.looks_truncated) and not one(spark, "{}" + "{" * 900, "string", X.looks_truncated)
     assert one(spark, "<think>x</think> y", "string", X.after_thinking) == "y" and one(spark, "<think>x", "string", X.after_thinking) is None and one(spark, "z", "string", X.after_thinking) == "z"
     assert one(spark, "One two. Last words here. ", "string", X.closing) == "Last words here"
@@ -133,7 +134,9 @@ GOOD = {"analysis": "a", "reflection_1p": "b"}
         "[" + json.dumps(GOOD) + "]",
         json.dumps({"reflection": json.dumps(GOOD)}),
         json.dumps({"output": [GOOD]}),
-        json.dumps({"analysis_text": "a", "first_person_reflection": "b"}),
+        json.dumps({"analysis": "a", "reflection": "b"}),
+        json.dumps({"wrap": {"analysis": "a", "reflecting_1p": "b"}}),
+        '```json\n{"analysis": "a",\n{"reflection_1p": "b"}\n```',
         json.dumps({"analysis": "a", "reflection_1p": ["b"]}),
     ],
 )
@@ -146,6 +149,8 @@ def test_answer_failures():
     assert A.parse_answer("no object")[2:] == ("parse", "no object")
     assert A.parse_answer('{"analysis": "a"}')[3] == "missing reflection_1p"
     assert A.parse_answer(json.dumps({"analysis": "a", "reflection_1p": 'x "reflection_1p": "y"'}))[3] == "key in text"
+    assert A.parse_answer('{"analysis": "ok", "reflection_1p": "Ich erkenne „eine These" [3.3] im Text."}')[1] == 'Ich erkenne „eine These" [3.3] im Text.'
+    assert A.parse_answer(json.dumps({"analysis": "I will produce reflection_1p next.", "reflection_1p": "b"}))[3] is None
     assert A.extract_object('{"a": "\\d"}') == {"a": "\\d"}
     assert A.parse_judgment('{"scores": {"a": 4, "b": "5"}}') == ({"a": 4, "b": 5}, 4.5)
     assert A.parse_judgment('{"scores": {}}') is None and A.parse_judgment("x") is None
