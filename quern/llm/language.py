@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from quern.llm.textnorm import CJK
 from quern.llm.tokens import clean_language
 from quern.llm.words import LANGS, languages_of
+from quern.session import spread
 
 #: Labelled texts per language that the model is fitted on, and the characters read of each.
 PER_LANGUAGE, TRAIN_CHARS = 200, 4_000
@@ -315,10 +316,10 @@ def training_sample(items: DataFrame) -> list[tuple[str, str]]:
 
 def text_segments(items: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """item_id, position, lang, confidence, n_words and full of every segment, once per item."""
-    from quern.llm.quality import item_texts
+    from quern.llm.quality import stored_texts
 
     spark = items.sparkSession
-    texts = item_texts(items) if texts is None else texts
+    texts = stored_texts(items) if texts is None else texts
     model = fit(training_sample(items))
     sent = spark.sparkContext.broadcast((model.weights, model.trans))
     schema = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("segs", T.ArrayType(_SEGMENT))])
@@ -331,7 +332,7 @@ def text_segments(items: DataFrame, texts: DataFrame | None = None) -> DataFrame
                 got = segments(some["text"].tolist(), mine)
                 yield pd.DataFrame({"item_id": some["item_id"].tolist(), "segs": [[dict(zip(("lang", "confidence", "n_words", "full"), s)) for s in segs] for segs in got]})
 
-    found = texts.where(F.trim("text") != "").select("item_id", "text").mapInPandas(run, schema)
+    found = spread(texts.where(F.trim("text") != "").select("item_id", "text")).mapInPandas(run, schema)
     return found.select("item_id", F.posexplode("segs").alias("position", "_s")).select("item_id", (F.col("position") + 1).alias("position"), "_s.*")
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from quern.llm.textnorm import CJK
 from quern.llm.words import guess, is_function
-from quern.session import materialize
+from quern.session import materialize, spread
 
 FEATURES = ("links", "entropy", "repetition", "bare", "unsentenced")
 #: Least scale of each feature, and the scales at which values are clipped for the correlation.
@@ -158,7 +158,7 @@ def spam_features(documents: DataFrame) -> DataFrame:
             rows = [(d, got[0], *got[1], got[2]) for d, t in zip(pdf["doc_id"], pdf["text"]) if (got := features(t)) is not None]
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return documents.select("doc_id", "text").where("doc_id is not null and text is not null").mapInPandas(run, schema)
+    return spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null")).mapInPandas(run, schema)
 
 
 def _robust(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
