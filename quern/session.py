@@ -57,3 +57,12 @@ def _remove(spark: SparkSession, path: str) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     except Exception:  # the session may be gone already
         pass
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of few splits (small files) over all cores, ahead of work per row in Python; other scans as they are.
+
+    Only for plans without a shuffle: counting the splits of one would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
