@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from quern.tables import item_versions
 
-_ID = re.compile(r"(?:[A-Z]|\d+)\.\d+(?![\w.])")
+_ID = re.compile(r"(?:[A-Z]|\d+)\.\d+(?!\w|\.\d)")
 _DELIMS = frozenset(",;|/&·、；，\t\n\r")
 _WORD_DELIM = re.compile(r"\s+and\s+", re.I)
 _CLOSERS = {'"': '"', "'": "'", "“": "”", "«": "»"}
