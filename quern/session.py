@@ -37,18 +37,22 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/quern_{name}_{os.getpid()}_{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: what comes after survives lost executors without repeating
-    what came before, and reads only the columns it needs. The table is removed
-    when the driver ends.
+    what came before, and reads only the columns it needs.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quern_{name}_{os.getpid()}_{uuid.uuid4().hex[:12]}"
+    path = scratch(df.sparkSession, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
