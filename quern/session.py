@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings the engine relies on; a cluster's own values win where they are set.
 DEFAULTS = {
@@ -37,6 +38,15 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Rows up to which a table of known size is broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
+    """A broadcast hint for a table that has been counted and is small; else the table as it is, for a shuffle join."""
+    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/quern_{name}_{os.getpid()}_{uuid.uuid4().hex[:12]}"
