@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.session import materialize
+from quern.session import broadcast_if_small, materialize
 from quern.tables import clean_key
 
 #: Co-rated items that halve the weight of a pair's agreement; and the most a vote can weigh.
@@ -125,7 +125,7 @@ def _combine(vote_rows: DataFrame, names: list[str], sens: np.ndarray, spec: np.
     """item_id, iteration, n_votes, n_accept and log_odds of acceptance."""
     spark = vote_rows.sparkSession
     weights = spark.createDataFrame([(r, float(np.log(a / (1 - b))), float(np.log((1 - a) / b))) for r, a, b in zip(names, sens, spec)], "reviewer_id string, _yes double, _no double")
-    weighed = vote_rows.join(F.broadcast(weights), "reviewer_id")  # one row an annotator
+    weighed = vote_rows.join(broadcast_if_small(weights, len(names)), "reviewer_id")
     say = F.when(F.col("vote") > 0, F.col("_yes")).otherwise(F.col("_no"))
     start = float(np.log(prior / (1 - prior)))
     return weighed.groupBy("item_id", "iteration").agg(F.count("*").alias("n_votes"), F.count_if(F.col("vote") > 0).alias("n_accept"), (F.sum(say) + start).alias("log_odds"))

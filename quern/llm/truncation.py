@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm.textnorm import CJK
-from quern.session import materialize
+from quern.session import broadcast_if_small, materialize
 from quern.tables import item_versions
 
 #: Log-odds of a cut that each ending adds, and the most that a length limit adds.
@@ -260,10 +260,10 @@ def scored_values(items: DataFrame) -> DataFrame:
     at = spark.createDataFrame(rows, "model string, field_name string, n_chars long, posterior double, _gain double")
     rates = spark.createDataFrame([(m, f, math.log(d["rate"] / (1 - d["rate"]))) for (m, f), d in limits.items()], "model string, field_name string, _prior double")
     same = lambda b: (told["model"].eqNullSafe(b["model"])) & (told["field_name"] == b["field_name"])
-    # a row per source, and per source and limit: as many as there are models
-    both = told.join(F.broadcast(rates), same(rates), "left").select(told["*"], "_prior")
+    # a row per source, and per source and limit
+    both = told.join(broadcast_if_small(rates, len(limits)), same(rates), "left").select(told["*"], "_prior")
     told = both
-    both = told.join(F.broadcast(at), same(at) & (told["n_chars"] == at["n_chars"]), "left").select(told["*"], "posterior", "_gain")
+    both = told.join(broadcast_if_small(at, len(rows)), same(at) & (told["n_chars"] == at["n_chars"]), "left").select(told["*"], "posterior", "_gain")
     odds = F.coalesce("_prior", F.lit(0.0)) + weight + F.least(F.lit(LIMIT), F.coalesce("_gain", F.lit(0.0)))
     return both.select("item_id", "iteration", "model", "gen_prompt", "field_name", "n_chars", "ending", "posterior", odds.alias("log_odds"), (odds > 0).alias("is_cut"))
 
