@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -57,6 +58,7 @@ def _h(s: str) -> int:
 _FIXED = {f"lex={lang}": k for k, lang in enumerate(LANGS)} | {"kana": _N, "han": _N + 1, "cyr": _N + 2, "latin": _N + 3}
 
 
+@lru_cache(maxsize=100_000)
 def word_features(word: str) -> list[int]:
     """Buckets of one word's features (lower case; a character comes with its neighbours as ``prev char next``)."""
     if "\x00" in word:
