@@ -7,7 +7,11 @@ for each source (model and field) a right-censored log-normal is fitted by
 maximum likelihood (lengths of whole values are exact, those of cut ones lower
 bounds); lengths at which many more values stand than the fitted density
 expects are candidate limits, and the excess gives the posterior that a value
-of that length was cut there. Their log-odds add up.
+of that length was cut there. The log-odds of the ending are added to those of a
+cut before the end is looked at: away from limits the rate of cuts there, never
+counted as so low that it outweighs an ending that shows a cut; at a limit the
+odds that the value was cut there or in another way, in full, so that enough
+excess overturns an ending that looks whole.
 
 One pass over the values gives a narrow table (ending class, length, last
 words); the counts of sentence endings, the length histograms (one row per
@@ -36,9 +40,9 @@ from quern.llm.textnorm import CJK
 from quern.session import broadcast_if_small, materialize
 from quern.tables import item_versions
 
-#: Log-odds of a cut that each ending adds, and the most that a length limit adds.
+#: Log-odds of a cut that each ending adds, and the least that a source's rate adds: less than an unseen ending outweighs.
 ENDINGS = {"mark": 8.0, "open": 8.0, "unseen": 5.0, "seen": -4.0, "whole": -6.0}
-LIMIT = 3.0
+LEAST_PRIOR = -4.0
 #: Values at one length that make it a candidate limit, and how many times the expected number.
 LEAST, TIMES = 5, 5.0
 #: Sentences that begin alike from which on their endings are taken to be known.
@@ -216,7 +220,7 @@ def fit_censored(exact: dict[int, int], cut: dict[int, int]) -> tuple[float, flo
 
 
 def length_limits(table: DataFrame) -> dict[tuple[str, str], dict]:
-    """Per (model, field): the fitted distribution and, at candidate limits, the posterior of a cut."""
+    """Per (model, field): the fitted distribution, the log-odds of a cut away from limits, and at candidate limits the posterior and the log-odds of any cut."""
     hist: dict = defaultdict(lambda: (defaultdict(int), defaultdict(int)))
     grouped = table.groupBy("model", "field_name", "n_chars").agg(F.count_if(F.col("cut")).alias("cut"), F.count_if(~F.col("cut")).alias("whole"))
     for r in grouped.collect():
@@ -227,16 +231,20 @@ def length_limits(table: DataFrame) -> dict[tuple[str, str], dict]:
             cut[r["n_chars"]] += r["cut"]
     out = {}
     for source, (exact, cut) in hist.items():
-        mean, dev = fit_censored(exact, cut)
+        mean, dev = map(float, fit_censored(exact, cut))
         total = sum(exact.values()) + sum(cut.values())
-        limits = {}
+        at = {}
         for length in set(exact) | set(cut):
             here = exact.get(length, 0) + cut.get(length, 0)
-            density = math.exp(-(((math.log(length) - mean) / dev) ** 2) / 2) / (dev * math.sqrt(2 * math.pi) * length)
-            expected = total * density
-            if here >= LEAST and here > TIMES * expected and cut.get(length, 0) * 2 > here:
-                limits[length] = min(0.999, 1 - expected / here)
-        out[source] = {"mean": mean, "dev": dev, "limits": limits, "rate": (sum(cut.values()) + 0.5) / (total + 1)}
+            log_expected = math.log(total) - (((math.log(length) - mean) / dev) ** 2) / 2 - math.log(dev * math.sqrt(2 * math.pi) * length)
+            log_share = log_expected - math.log(here)  # of values that end here by themselves
+            if here >= LEAST and log_share < -math.log(TIMES) and cut.get(length, 0) * 2 > here:
+                at[length] = log_share
+        n_cut, n_whole = (sum(n for length, n in counts.items() if length not in at) for counts in (cut, exact))
+        prior = max(LEAST_PRIOR, math.log((n_cut + 0.5) / (n_whole + 0.5)))
+        log_whole = -math.log1p(math.exp(prior))  # not cut in another way either
+        limits = {length: (-math.expm1(share), math.log(-math.expm1(share + log_whole)) - share - log_whole) for length, share in at.items()}
+        out[source] = {"mean": mean, "dev": dev, "limits": limits, "prior": prior}
     return out
 
 
@@ -256,15 +264,15 @@ def scored_values(items: DataFrame) -> DataFrame:
     told = table.drop("keys").join(known, "words", "left").withColumn("ending", F.when(F.col("ending") != "words", F.col("ending")).when(F.col("_seen"), "seen").otherwise("unseen")).drop("_seen")
     weight = F.create_map(*[x for k, v in ENDINGS.items() for x in (F.lit(k), F.lit(v))])[F.col("ending")]
     limits = length_limits(told.select("model", "field_name", "n_chars", (weight > 0).alias("cut")))
-    rows = [(m, f, length, post, math.log(post / (1 - post))) for (m, f), d in limits.items() for length, post in d["limits"].items()]
-    at = spark.createDataFrame(rows, "model string, field_name string, n_chars long, posterior double, _gain double")
-    rates = spark.createDataFrame([(m, f, math.log(d["rate"] / (1 - d["rate"]))) for (m, f), d in limits.items()], "model string, field_name string, _prior double")
+    rows = [(m, f, length, *found) for (m, f), d in limits.items() for length, found in d["limits"].items()]
+    at = spark.createDataFrame(rows, "model string, field_name string, n_chars long, posterior double, _at_limit double")
+    rates = spark.createDataFrame([(m, f, d["prior"]) for (m, f), d in limits.items()], "model string, field_name string, _prior double")
     same = lambda b: (told["model"].eqNullSafe(b["model"])) & (told["field_name"] == b["field_name"])
     # a row per source, and per source and limit
     both = told.join(broadcast_if_small(rates, len(limits)), same(rates), "left").select(told["*"], "_prior")
     told = both
-    both = told.join(broadcast_if_small(at, len(rows)), same(at) & (told["n_chars"] == at["n_chars"]), "left").select(told["*"], "posterior", "_gain")
-    odds = F.coalesce("_prior", F.lit(0.0)) + weight + F.least(F.lit(LIMIT), F.coalesce("_gain", F.lit(0.0)))
+    both = told.join(broadcast_if_small(at, len(rows)), same(at) & (told["n_chars"] == at["n_chars"]), "left").select(told["*"], "posterior", "_at_limit")
+    odds = F.coalesce("_at_limit", "_prior", F.lit(0.0)) + weight
     return both.select("item_id", "iteration", "model", "gen_prompt", "field_name", "n_chars", "ending", "posterior", odds.alias("log_odds"), (odds > 0).alias("is_cut"))
 
 

@@ -78,3 +78,36 @@ def test_scores(spark):
     assert scored.where("item_id = 'a'").count() == 2
     assert sum(r.n_cut for r in t.cut_rates(scored).collect()) == len(cut)
     assert t.scored_values(items.limit(0)).collect() == []
+
+
+SCHEMA = "item_id string, iteration int, model string, gen_prompt string, reflection string, raw_response string"
+
+
+def _cut_ids(spark, rows):
+    items = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "timestamp_ntz'2025-01-01' created_at")
+    return {r.item_id for r in t.scored_values(items).where("is_cut").collect()}
+
+
+def test_a_source_that_rarely_cuts_keeps_its_cuts(spark):
+    s = "It gives way to convenience. "
+    rows = [(f"w{k}", 1, "hot", "p", s * (2 + k % 7), None) for k in range(997)]
+    rows += [(f"c{k}", 1, "hot", "p", s * (2 + k) + "It gives way to conv", None) for k in range(3)]  # 0.3 %
+    assert _cut_ids(spark, rows) == {"c0", "c1", "c2"}
+    # marks and open structures, in a source that cuts one value in ten thousand
+    assert t.length_limits(spark.createDataFrame([("hot", "reflection", 100 + k % 300, k == 0) for k in range(10_000)], "model string, field_name string, n_chars long, cut boolean"))[("hot", "reflection")]["prior"] + t.ENDINGS["unseen"] > 0
+
+
+def test_the_posterior_alone_can_tell(spark):
+    s, limit = "It gives way to convenience. ", 57
+    rows = [(f"w{k}", 1, "m", "p", s * (20 + k % 40), None) for k in range(400)]
+    rows += [(f"l{k}", 1, "m", "p", ("Now then, " + s * 2)[:limit], None) for k in range(30)]  # in mid-word
+    rows += [("whole at limit", 1, "m", "p", (s * 2).strip(), None), ("seen at limit", 1, "m", "p", ("So. " + s + "It gives way to convenience")[:limit].ljust(limit, "…"), None)]
+    rows += [("whole elsewhere", 1, "m", "p", (s * 2).strip() + " So.", None), ("seen elsewhere", 1, "m", "p", s * 9 + "It gives way to convenience", None)]
+    assert all(len(r[4]) == limit for r in rows if "at limit" in r[0])
+    assert _cut_ids(spark, rows) == {f"l{k}" for k in range(30)} | {"whole at limit", "seen at limit"}
+
+
+def test_a_weak_posterior_leaves_whole_endings(spark):
+    rows = [("m", "reflection", 100 + k % 50, False) for k in range(400)] + [("m", "reflection", 120, True)] * 100
+    at = t.length_limits(spark.createDataFrame(rows, "model string, field_name string, n_chars long, cut boolean"))[("m", "reflection")]["limits"]
+    assert list(at) == [120] and 0 < at[120][1] < -t.ENDINGS["whole"]
