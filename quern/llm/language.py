@@ -11,6 +11,11 @@ language, chosen by hash. Code-switched sequences are made by joining sentences
 of different texts; after a first round, sentences whose label the model
 contradicts are left out (labels are wrong in places). Everything else reads all texts.
 
+A passage in brackets is read apart from the sentence around it. It counts if it
+is a full sentence: it begins like one, ends in a stop or stands between
+sentences, and has the words of one; other bracketed words are no segment, unless
+the text has no others.
+
 Defined results: null and blank texts have no language; a text without letters
 is ``und`` with confidence 0; ties go to the language first in ``LANGS``; whole
 texts are read; with few or no labelled texts the lexicon and scripts decide.
@@ -45,6 +50,9 @@ _N = len(LANGS)
 _TOKEN = re.compile(f"[{CJK}]|[^\\W\\d_{CJK}]+")
 _SPLIT = re.compile(r"(?<=[.!?…;])[\"”»)\]]*\s+|(?<=[。！？；])|\n\s*\n|\.\.\.|!!")
 _PAREN = re.compile(r"[(（][^()（）\n]{0,200}[)）]")
+_ENDED = re.compile(r"[.!?。！？…][\"”»』」]*$")
+#: Holds the place of a bracketed passage.
+_HELD = "\ue000"
 _KANA = re.compile("[ぁ-ヿ]")
 _HAN = re.compile("[㐀-䶿一-鿿豈-﫿]")
 _CYR = re.compile("[Ѐ-ӿ]")
@@ -263,30 +271,50 @@ def fit(texts: list[tuple[str, str]], seed: int = 7) -> Model:
     return Model(weights, trans)
 
 
-def _cut(text: str) -> list[str]:
-    """Sentences of a text without what stands in brackets; very long stretches in parts."""
+def _parts(s: str) -> list[str]:
+    """A sentence, or, if it is very long, its parts."""
+    if len(s) <= 600:
+        return [s]
+    ws = s.split(" ")
+    return [" ".join(ws[i : i + 25]) for i in range(0, len(ws), 25)] if len(ws) > 50 else [s[i : i + 80] for i in range(0, len(s), 80)]
+
+
+def _cut(text: str) -> list[tuple[str, bool]]:
+    """Sentences of a text, and whether they stood in brackets, each after the sentence around it; very long stretches in parts."""
+    inside: list[str] = []
+
+    def keep(m: re.Match) -> str:
+        inside.append(m.group()[1:-1])
+        return f" {_HELD} "
+
+    rest = _PAREN.sub(keep, text.replace(_HELD, " "))
+    alone = not _TOKEN.search(rest)
+    held = iter(inside)
     out = []
-    for s in _SPLIT.split(_PAREN.sub(" ", text)):
+    for s in _SPLIT.split(rest):
         if not s or not s.strip():
             continue
-        if len(s) > 600:
-            ws = s.split(" ")
-            out += [" ".join(ws[i : i + 25]) for i in range(0, len(ws), 25)] if len(ws) > 50 else [s[i : i + 80] for i in range(0, len(s), 80)]
-        else:
-            out.append(s)
+        own = s.replace(_HELD, " ")
+        out += [(x, False) for x in _parts(own)]
+        stands = not _TOKEN.search(own)
+        for _ in range(s.count(_HELD)):
+            b = next(held).strip()
+            first = _TOKEN.search(b)
+            if alone or first and not first.group()[0].islower() and (stands or _ENDED.search(b)):
+                out += [(x, not alone) for x in _SPLIT.split(b) if x and x.strip() for x in _parts(x)]
     return out
 
 
 def segments(texts: list[str], model: Model) -> list[list[tuple[str, float, int, bool]]]:
     """Of each text, its runs of sentences in one language: language, confidence, words, and whether any is a full sentence."""
     cut = [_cut(t) for t in texts]
-    toks = [[tokens_of(s) for s in ss] for ss in cut]
-    posts = model.marginals([[w for ws in ts for w in ws] for ts in toks])
+    toks = [[(tokens_of(s), bracketed) for s, bracketed in ss] for ss in cut]
+    posts = model.marginals([[w for ws, _ in ts for w in ws] for ts in toks])
     out = []
     for ts, post in zip(toks, posts):
         runs: list[list] = []
         i = 0
-        for ws in ts:
+        for ws, bracketed in ts:
             if not ws:
                 continue
             mean = post[i : i + len(ws)].mean(0)
@@ -294,6 +322,8 @@ def segments(texts: list[str], model: Model) -> list[list[tuple[str, float, int,
             k = int(mean.argmax())
             wide = sum("\x00" in w for w in ws) * 2 > len(ws)
             full = len(ws) >= (SENTENCE_CHARS if wide else SENTENCE_WORDS) and mean[k] >= SURE
+            if bracketed and not full:
+                continue
             if runs and runs[-1][0] == k:
                 runs[-1][1] += mean[k] * len(ws)
                 runs[-1][2] += len(ws)

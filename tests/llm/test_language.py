@@ -64,3 +64,16 @@ def test_label_cases(spark):
     assert got == [("a", 2, "en"), ("b", 1, "en"), ("d", 1, "en"), ("d", 1, "rus")]
     assert L.label_cases(items.limit(0)).collect() == []
     assert set(r.lang for r in L.text_languages(L.text_segments(items)).collect()) <= {*LANGS, "und"}
+
+
+def test_full_sentences_in_brackets_are_segments():
+    model = L.fit([])
+    en, ru = "The old miller keeps the letter under the stairs and it is not for the village", "Это письмо было не в доме, и он не знает, что это"
+    langs = lambda text: [(s[0], s[3]) for s in L.segments([text], model)[0]]
+    assert langs(f"{en} ({ru}.). {en}.") == [("en", True), ("rus", True), ("en", True)]
+    assert langs(f"{en}. ({ru})") == [("en", True), ("rus", True)]
+    assert langs(f"({en}.)") == [("en", True)] and langs("(the letter of the clerk)")[0][0] == "en"
+    assert langs(f"({en}.) （これは古い手紙です。）") == [("en", True), ("jpn", True)]
+    for few in ("это письмо было в доме", "это, не, он, и др.", "Это не.", "123", ""):
+        assert langs(f"{en} ({few}). {en}.") == [("en", True)]
+    assert langs(f"{en} \ue000 ({ru}.)") == [("en", True), ("rus", True)]
