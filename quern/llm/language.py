@@ -7,7 +7,7 @@ trained jointly by stochastic gradient of the log likelihood. Forward-backward
 gives the marginals, whose means over sentences are the segments' confidences.
 
 Training uses a bounded sample: ``PER_LANGUAGE`` labelled texts of each
-language, chosen by hash. Code-switched sequences are made by joining sentences
+language, chosen by hash and read whole. Code-switched sequences are made by joining sentences
 of different texts; after a first round, sentences whose label the model
 contradicts are left out (labels are wrong in places). Everything else reads all texts.
 
@@ -39,8 +39,8 @@ from quern.llm.tokens import clean_language
 from quern.llm.words import LANGS, languages_of
 from quern.session import spread
 
-#: Labelled texts per language that the model is fitted on, and the characters read of each.
-PER_LANGUAGE, TRAIN_CHARS = 200, 4_000
+#: Labelled texts per language that the model is fitted on, and the most words of a training sentence, longer ones being several.
+PER_LANGUAGE, TRAIN_WORDS = 200, 60
 BUCKETS = 1 << 15
 EPOCHS, BATCH, RATE = 3, 64, 0.05
 #: Least words (characters, in scripts without spaces) of a full sentence, and its least mean marginal.
@@ -191,10 +191,10 @@ class Model:
 
 
 def _pieces(texts: list[tuple[str, str]]) -> list[tuple[list[str], int]]:
-    """Sentences as words, with the number of their text's language."""
+    """Sentences as words, long ones in several parts, with the number of their text's language."""
     at = {lang: k for k, lang in enumerate(LANGS)}
-    pieces = [(tokens_of(s)[:60], at[lang]) for lang, text in texts for s in _SPLIT.split(text[:TRAIN_CHARS]) if s and s.strip()]
-    return [p for p in pieces if p[0]]
+    sentences = [(tokens_of(s), at[lang]) for lang, text in texts for s in _SPLIT.split(text) if s and s.strip()]
+    return [(ws[i : i + TRAIN_WORDS], k) for ws, k in sentences for i in range(0, len(ws), TRAIN_WORDS)]
 
 
 def _sequences(pieces: list[tuple[list[str], int]], rng: np.random.Generator) -> tuple[list[list[str]], list[list[int]]]:

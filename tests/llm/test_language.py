@@ -77,3 +77,11 @@ def test_full_sentences_in_brackets_are_segments():
     for few in ("это письмо было в доме", "это, не, он, и др.", "Это не.", "123", ""):
         assert langs(f"{en} ({few}). {en}.") == [("en", True)]
     assert langs(f"{en} \ue000 ({ru}.)") == [("en", True), ("rus", True)]
+
+
+def test_whole_texts_are_trained_on():
+    long, late = " ".join(f"word{k}" for k in range(150)) + ".", "The tired clerk opens the door. " * 300 + "Zanzibar."
+    pieces = L._pieces([("en", long), ("deu", late), ("fra", "12."), ("rus", "")])
+    assert [w for ws, k in pieces if k == L.LANGS.index("en") for w in ws] == L.tokens_of(long)
+    assert [w for ws, k in pieces if k == L.LANGS.index("deu") for w in ws] == L.tokens_of(late)
+    assert all(0 < len(ws) <= L.TRAIN_WORDS for ws, _ in pieces)
