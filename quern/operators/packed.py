@@ -46,17 +46,22 @@ def _id_follows(s: str, i: int) -> tuple[bool, int]:
 
 def split_packed(field: str | None) -> list[str]:
     """The members of one packed field, in order."""
+    return [value for value, _ in _tokens(field)]
+
+
+def _tokens(field: str | None) -> list[tuple[str, bool]]:
+    """The members of one packed field, in order, and whether each stood in quotes that close."""
     if not field:
         return []
-    out: list[str] = []
+    out: list[tuple[str, bool]] = []
     buf: list[str] = []
     state, closer, escaped, depth, i, n = _START, "", False, 0, 0, len(field)
 
-    def emit() -> None:
+    def emit(quoted: bool = False) -> None:
         value = "".join(buf).strip().strip("　")
         buf.clear()
         if value:
-            out.append(value)
+            out.append((value, quoted))
 
     while i < n:
         ch = field[i]
@@ -81,7 +86,7 @@ def split_packed(field: str | None) -> list[str]:
                 nxt = field[i + 1]
                 if escaped and nxt == closer:  # the closing half of an escaped pair
                     i, state = i + 1, _AFTER
-                    emit()
+                    emit(True)
                 else:
                     buf.append({"n": "\n", "t": "\t"}.get(nxt, nxt))
                     i += 1
@@ -91,7 +96,7 @@ def split_packed(field: str | None) -> list[str]:
                     i += 1
                 else:
                     state = _AFTER
-                    emit()
+                    emit(True)
             else:
                 buf.append(ch)
         elif state == _AFTER:
@@ -127,36 +132,50 @@ def split_packed(field: str | None) -> list[str]:
 
 
 _NOT_MEMBER = re.compile(r"[\w.]")
+_LEAD = re.compile(r"(?:cf\.|\W)*", re.I)
+#: A quoted member, from its quote to the delimiter or bracket after it.
+_QUOTED_MEMBER = re.compile(r"""(?:"(?:[^"\\\n]|\\.|"")*"|'[^'\\\n]*'|“[^”\n]*”|«[^»\n]*»)(?=\s*[,;|/&·、；，\]］])""")
 
 
 def bracket_members(text: str | None, known: frozenset[str]) -> list[str]:
     """Known ids that stand as members of closed square brackets, in order.
 
-    The machine opens a list at ``[`` or ``［`` and drops it if another bracket
-    opens before it closes; members are cut at delimiters, then freed of
-    quotes, section signs and a leading ``cf.``.
+    Brackets nest; one that is never closed makes no list, those closed within
+    it do. A bracket in a quoted member is none. The inside of each outermost
+    closed bracket goes through the tokenizer.
     """
     if not text:
         return []
-    out: list[str] = []
-    start = -1
-    for i, ch in enumerate(text):
+    starts: list[int] = []
+    closed: list[tuple[int, int]] = []
+    i, fresh = 0, False  # fresh: a member may begin here
+    while i < len(text):
+        ch = text[i]
         if ch in "[［":
-            start = i + 1
-        elif ch in "]］" and start >= 0:
-            out += _members(text[start:i], known)
-            start = -1
-    return out
+            starts.append(i + 1)
+            fresh = True
+        elif ch in "]］":
+            if starts:
+                start = starts.pop()
+                while closed and closed[-1][0] >= start:
+                    closed.pop()
+                closed.append((start, i))
+            fresh = False
+        elif starts and fresh and ch in _CLOSERS and (m := _QUOTED_MEMBER.match(text, i)):
+            i = m.end() - 1
+            fresh = False
+        elif not ch.isspace():
+            fresh = ch in _DELIMS
+        i += 1
+    return [x for start, end in closed for value, quoted in _tokens(text[start:end]) for x in _members(value, quoted, known)]
 
 
-def _members(inside: str, known: frozenset[str]) -> list[str]:
-    found = []
-    for m in _ID.finditer(inside):
-        if m.start() and _NOT_MEMBER.match(inside[m.start() - 1]):
-            continue
-        if m.group() in known:
-            found.append(m.group())
-    return found
+def _members(value: str, quoted: bool, known: frozenset[str]) -> list[str]:
+    """The known ids of one member: of a quoted one that with which it begins, or all if it holds nothing else."""
+    if quoted and not all(_ID.fullmatch(x) for x in split_packed(value)):
+        m = _ID.match(value, _LEAD.match(value).end())
+        return [m.group()] if m and m.group() in known else []
+    return [m.group() for m in _ID.finditer(value) if not (m.start() and _NOT_MEMBER.match(value[m.start() - 1])) and m.group() in known]
 
 
 _STRINGS = T.ArrayType(T.StringType())

@@ -83,3 +83,27 @@ def test_versions_once_and_clashing_columns(spark):
     found = sorted(map(tuple, packed_elements(items, elements).collect()))
     assert found == [("a", 1, "reflection", 1, "1.1"), ("a", 1, "reflection_charter_elements", 1, "1.1"), ("a", 1, "reflection_charter_elements", 2, "1.1")]
     assert packed_elements(items.limit(0), elements).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, ids",
+    [
+        ("[3.1 [4.2]]", ["3.1", "4.2"]),
+        ("［3.1、[4.2], 3.1］ and [4.2]", ["3.1", "4.2", "3.1", "4.2"]),
+        ('["a title that names 4.2"]', []),
+        ('["3.1 a title that names 4.2", \'4.2 another ] 3.1\', "§4.2"]', ["3.1", "4.2", "4.2"]),
+        ('[\\"3.1 names 4.2\\"; cf. 4.2]', ["3.1", "4.2"]),
+        ('["3.1, 4.2"] ["3.1 Truth, 4.2]', ["3.1", "4.2", "3.1", "4.2"]),
+        ("[3.1 a title, 4.2–3.1 (see 4.2)]", ["3.1", "4.2", "3.1", "4.2"]),
+        ("[open 3.1 [4.2] don't ['tis 3.1]", ["4.2", "3.1"]),
+        ("[[3.1] [4.2]] ]", ["3.1", "4.2"]),
+    ],
+)
+def test_brackets_nest_and_quotes_shield(text, ids):
+    assert bracket_members(text, frozenset({"3.1", "4.2"})) == ids
+
+
+def test_many_brackets_are_read_in_one_pass():
+    assert bracket_members("[" * 200_000 + "3.1" + "]" * 200_000, frozenset({"3.1"})) == ["3.1"]
+    assert len(bracket_members("[3.1] " * 50_000, frozenset({"3.1"}))) == 50_000
+    assert bracket_members("[" + '"' * 100_000, frozenset({"3.1"})) == []
