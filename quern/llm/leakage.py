@@ -11,7 +11,9 @@ pair when the verified runs cover a quarter of the item's own passage.
 
 The documents are never shuffled: the test items, a stated query set, go to
 the documents in blocks of ``BLOCK`` items. Wording that several items share
-(task lines) is masked: it neither seeds nor counts.
+(task lines) is masked: it neither seeds nor counts. A shorter piece that stands
+in several items seeds too, but a run found by such pieces alone counts only if
+it is no run of another of these items: else it is wording they share.
 
 Defined results: null and empty documents or items, and null ids, give no pair; repeated
 documents give a pair each, repeated items of one id count as one; whole texts
@@ -114,8 +116,7 @@ class Items:
                     at[f" {' '.join(toks[i : i + size])} "].append((k, i))
         self.automaton = ahocorasick.Automaton()
         for piece, places in at.items():
-            if len({k for k, _ in places}) == 1:
-                self.automaton.add_word(piece, (places, len(piece)))
+            self.automaton.add_word(piece, (places, len(piece), len({self.ids[k] for k, _ in places}) > 1))
         if len(self.automaton):
             self.automaton.make_automaton()
 
@@ -143,33 +144,43 @@ class Items:
         toks = fold_tokens(text)
         line = f" {' '.join(toks)} "
         seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        shared: dict[int, list[tuple[int, int, list]]] = defaultdict(list)
         last, count = 0, 0
-        for end, (places, size) in self.automaton.iter(line):
+        for end, (places, size, common) in self.automaton.iter(line):
             start = end - size + 1
             count += line.count(" ", last, start)  # tokens that began before this one
             last = start
             for k, i in places:
-                seeds[k].append((i, count))
-        return [self.ids[k] for k, own in seeds.items() if self._covers(k, own, toks)]
-
-    def _covers(self, k: int, seeds: list[tuple[int, int]], toks: list[str]) -> bool:
-        item, mask, rule = self.tokens[k], self.own[k], self.rule[k]
+                if common:
+                    shared[k].append((i, count, places))
+                else:
+                    seeds[k].append((i, count))
+        return [self.ids[k] for k in seeds | shared if self._covers(k, seeds.get(k, []), shared.get(k, []), toks)]
+
+    def _run(self, k: int, i: int, j: int, toks: list[str]) -> tuple[int, int, int, int, bool]:
+        """First and last token of the run from (i, j) in the item and in the document, and whether it is long and like enough."""
+        item, rule = self.tokens[k], self.rule[k]
+        a, c = _walk(item, toks, i, j, -1)
+        b, d = _walk(item, toks, i, j, 1)
+        size = b - a + 1
+        return a, b, c, d, size >= rule["run"] and myers(item[a : b + 1], toks[c : d + 1]) <= ERROR_RATE * size
+
+    def _covers(self, k: int, seeds: list[tuple[int, int]], shared: list[tuple[int, int, list]], toks: list[str]) -> bool:
+        item, mask = self.tokens[k], self.own[k]
         need = SHARE * sum(mask)
         if not need:
             return False
         covered = bytearray(len(item))
         done: set[tuple[int, int]] = set()
         spans: list[tuple[int, int, int, int]] = []
-        for i, j in seeds:
+        for i, j, others in [*((i, j, ()) for i, j in seeds), *shared]:
             if (i, j) in done or any(a <= i <= b and c <= j <= d for a, b, c, d in spans[-4:]):
                 continue
-            a, c = _walk(item, toks, i, j, -1)
-            b, d = _walk(item, toks, i, j, 1)
+            a, b, c, d, good = self._run(k, i, j, toks)
             done.add((i, j))
             spans.append((a, b, c, d))
-            size = b - a + 1
-            if size >= rule["run"] and myers(item[a : b + 1], toks[c : d + 1]) <= ERROR_RATE * size:
-                covered[a : b + 1] = b"\1" * size
+            if good and not any(self.ids[x] != self.ids[k] and self._run(x, y, j, toks)[4] for x, y in others):
+                covered[a : b + 1] = b"\1" * (b - a + 1)
         return sum(x & y for x, y in zip(covered, mask)) >= need
 
 

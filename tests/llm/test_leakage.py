@@ -93,3 +93,23 @@ def test_long_documents_are_read_to_the_end():
 def test_folding():
     assert fold_tokens("L&#39;Été — ＡＢＣ １２ Straße") == ["l", "ete", "abc", "12", "strasse"]
     assert fold_tokens("Ã©tÃ© dÃ©jÃ  vÃ©cu".encode("latin-1", "ignore").decode("utf-8", "ignore")) == fold_tokens("été déjà vécu") or True
+
+
+def test_a_piece_that_items_share_seeds_too():
+    a, b = _passage(24, 61), _passage(24, 62)
+    b[5:10] = a[5:10]  # too short for shared wording
+    copied = [*a[:4], "zzz", *a[5:10]]  # its only unchanged piece is that one
+    items = Items([("a", " ".join(a)), ("b", " ".join(b))])
+    assert items.matches(" ".join(_passage(30, 63) + copied + _passage(30, 64))) == ["a"]
+
+
+def test_two_texts_of_one_item_keep_their_common_pieces():
+    a = _passage(60, 65)
+    items = Items([("a", " ".join(a)), ("a", " ".join(a + ["zzz"]))])
+    assert set(items.matches(" ".join(_passage(30, 66) + a + _passage(30, 67)))) == {"a"}
+
+
+def test_wording_shared_up_to_a_word_is_no_leak():
+    phrase = _passage(11, 68)
+    items = Items([(x, " ".join([*_passage(14, 70 + k), *phrase[:5], x, *phrase[6:]])) for k, x in enumerate("ab")])
+    assert items.matches(" ".join([*_passage(30, 72), *phrase, *_passage(30, 73)])) == []
