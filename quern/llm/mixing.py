@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,9 +29,8 @@ from quern.session import broadcast_if_small, materialize
 
 SEED = 20250101
 BUCKET = 50_000
-#: Tokens left to the dynamic programming, and the lengths it may draw on.
+#: Tokens left to the dynamic programming.
 DP_TOKENS = 200_000
-DP_LENGTHS = 2_000
 
 
 def clean_source(source: Column) -> Column:
@@ -63,24 +63,26 @@ def fit(hist: dict[int, int], budget: int) -> dict[int, int]:
             rest -= more * k
     parts: list[tuple[int, int]] = []
     open_lengths = [k for k in sorted(hist) if hist[k] > take[k] and k <= rest]
-    step = max(1, len(open_lengths) // DP_LENGTHS)
-    for k in open_lengths[::step]:
+    for k in open_lengths:
         left, chunk = min(hist[k] - take[k], rest // k), 1
         while left > 0:
             size = min(chunk, left)
             parts.append((k, size))
             left, chunk = left - size, chunk * 2
-    mask, bits, history = (1 << (rest + 1)) - 1, 1, []
-    for k, size in parts:
-        history.append(bits)
-        bits |= bits << (k * size) & mask
+    mask, bits = (1 << (rest + 1)) - 1, 1
+    via = np.full(rest + 1, -1, dtype=np.int32)  # the part that first reached each sum; the sum before it was reached earlier
+    for p, (k, size) in enumerate(parts):
+        new = (bits << (k * size) & mask) & ~bits
+        if new:
+            via[np.flatnonzero(np.unpackbits(np.frombuffer(new.to_bytes(rest // 8 + 1, "little"), dtype=np.uint8), bitorder="little"))] = p
+            bits |= new
         if bits >> rest & 1:
             break
     at = bits.bit_length() - 1
-    for (k, size), before in zip(reversed(parts[: len(history)]), reversed(history)):
-        if not before >> at & 1:
-            take[k] += size
-            at -= k * size
+    while at:
+        k, size = parts[via[at]]
+        take[k] += size
+        at -= k * size
     return take
 
 

@@ -56,3 +56,9 @@ def test_edges(spark):
     assert [(r.doc_id, r.n_uses) for r in mixing.mix_documents(mixing.sized_documents(docs), targets).collect()] == [(1, 2)]
     assert mixing.mix_documents(_table(spark, []), targets).collect() == []
     assert mixing.mix_documents(mixing.sized_documents(docs), targets.limit(0)).collect() == []
+
+
+def test_every_open_length_can_be_drawn_on():
+    hist = {1000 + k: 1 for k in range(5000)}  # every second length is even, and so are their sums
+    take = mixing.fit(hist, 150_001)
+    assert sum(k * n for k, n in take.items()) == 150_001 and all(n <= hist[k] for k, n in take.items())
