@@ -16,6 +16,7 @@ Defined results: an annotator's latest row counts (the larger review_seq on a
 tie), and one without a decision withdraws the vote; spellings of a decision
 are one; rows with a null in a key are left out; exact ties go to ``accept``;
 annotators without usable triplets weigh nothing; empty tables give no rows.
+Scores do not weigh votes; ``score_agreement`` tells how far they agree.
 """
 
 from __future__ import annotations
@@ -51,6 +52,18 @@ def votes(reviews: DataFrame, items: DataFrame) -> DataFrame:
     return last.join(versions, ["_k", "iteration"]).select("item_id", "iteration", "reviewer_id", F.when(F.col("_d") == "accept", 1).otherwise(-1).alias("vote"))
 
 
+def score_agreement(reviews: DataFrame, items: DataFrame) -> DataFrame:
+    """item_id, iteration and the share of equal scores among pairs of reviewers with a vote, over all voices and dimensions both scored."""
+    rows = reviews.select(clean_key("item_id").alias("_k"), "iteration", clean_key("reviewer_id").alias("reviewer_id"), F.struct("created_at", "review_seq").alias("_at"), F.struct(clean_decision(F.col("decision")).alias("d"), "scores").alias("_s"))
+    rows = rows.where("_k is not null and iteration is not null and reviewer_id is not null")
+    last = rows.groupBy("_k", "iteration", "reviewer_id").agg(F.max_by("_s", "_at").alias("_s")).where("_s.d is not null")
+    parts = last.select("_k", "iteration", F.explode("_s.scores").alias("voice", "_p")).select("_k", "iteration", "voice", F.explode("_p").alias("dim", "score")).where("score is not null")
+    per = parts.groupBy("_k", "iteration", "voice", "dim", "score").agg(F.count("*").alias("c")).groupBy("_k", "iteration", "voice", "dim").agg(F.sum(F.expr("c * (c - 1)")).alias("same"), F.sum("c").alias("n"))
+    got = per.groupBy("_k", "iteration").agg(F.try_divide(F.sum("same"), F.sum(F.expr("n * (n - 1)"))).alias("score_agreement"))
+    versions = items.where("item_id is not null and iteration is not null").groupBy(clean_key("item_id").alias("_k"), "iteration").agg(F.min("item_id").alias("item_id"))
+    return got.join(versions, ["_k", "iteration"]).select("item_id", "iteration", "score_agreement")
+
+
 def packs(vote_rows: DataFrame) -> DataFrame:
     """The votes of each item version in one row."""
     return vote_rows.groupBy("item_id", "iteration").agg(F.collect_list(F.struct("reviewer_id", "vote")).alias("votes"))

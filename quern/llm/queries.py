@@ -17,8 +17,9 @@ def p3_found(spark, sf_dir):
 
 
 def p3_agreement(spark, sf_dir):
-    """Confidence of each decision and the share of agreeing pairs of votes."""
-    return _consensus(spark, sf_dir)[0]
+    """Confidence of each decision, the share of agreeing pairs of votes, and that of equal scores (null without two scores of a kind)."""
+    scores = consensus.score_agreement(load(spark, sf_dir, "reviews"), load(spark, sf_dir, "items"))
+    return _consensus(spark, sf_dir)[0].join(scores, ["item_id", "iteration"], "left")
 
 
 def p3_reliability(spark, sf_dir):

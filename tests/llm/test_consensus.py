@@ -77,3 +77,15 @@ def test_latest_rows_ties_and_edges(spark):
     assert [(r.item_id, r.iteration, r.decision, r.n_votes, r.agreement) for r in found.collect()] == [("a", 1, "accept", 3, 1.0)]
     found, who = C.consensus(_reviews(spark, rows).limit(0), items)
     assert found.collect() == [] and who.collect() == []
+
+
+def test_scores_on_which_reviewers_disagree(spark):
+    from quern.llm.consensus import score_agreement
+
+    rows = [
+        (1, "a", 1, "r1", "accept", {"v": {"x": 3, "y": 2}}), (2, " A", 1, "r2", "accept", {"v": {"x": 3, "y": 1}}), (3, "a", 1, "r3", "accept", {"v": {"x": 5}}), (4, "a", 1, "R3 ", "accept", {"v": {"x": 3}, "w": {"x": 1}}),
+        (5, "a", 1, "r4", None, {"v": {"x": 1}}), (6, "b", 1, "r1", "accept", {"v": {"x": 1}}), (7, "b", 1, "r2", "accept", None), (8, "gone", 1, "r1", "accept", {"v": {"x": 1}}),
+    ]
+    reviews = spark.createDataFrame(rows, "review_seq long, item_id string, iteration int, reviewer_id string, decision string, scores map<string,map<string,int>>").selectExpr("*", "timestamp_ntz'2025-01-01' created_at")
+    items = spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "item_id string, iteration int")
+    assert {r.item_id: r.score_agreement for r in score_agreement(reviews, items).collect()} == {"a": 6 / 8, "b": None}
