@@ -83,9 +83,7 @@ def p10_found(spark, sf_dir):
 
 def p10_site_rates(spark, sf_dir):
     """Spam documents per site, over sites with any document that has text."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "site")
-    scored = spam.spam_scores(load(spark, sf_dir, "documents")).select("doc_id", "is_spam")
-    return scored.join(docs, "doc_id").groupBy("site").agg(F.count("*").alias("n_docs"), F.count_if("is_spam").alias("n_spam"))
+    return spam.spam_scores(load(spark, sf_dir, "documents"), "site").groupBy("site").agg(F.count("*").alias("n_docs"), F.count_if("is_spam").alias("n_spam"))
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_agreement, p3_reliability, p4_found, p4_segments, p5_found, p5_statistics, p6_found, p6_cut_rates, p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from quern.llm.spam import features, spam_scores
@@ -25,13 +27,29 @@ FINE = [
 
 
 @pytest.mark.parametrize("text", SPAM)
-def test_spam_share(text):
-    assert features(text)[2] > 0.5
+def test_spam_density(text):
+    assert features(text)[1][0] > 0.5
 
 
 @pytest.mark.parametrize("text", FINE)
-def test_fine_share(text):
-    assert features(text)[2] <= 0.5
+def test_fine_density(text):
+    assert features(text)[1][0] <= 0.5
+
+
+def test_odd_markup_takes_linear_time():
+    began = time.perf_counter()
+    for odd in ("<a ", "[", "<b", "http", "."):
+        features(odd * 100_000)
+    assert time.perf_counter() - began < 20
+
+
+def test_the_distance_alone_selects(spark, tables, monkeypatch):
+    docs = tables("documents", "sf0.01")
+    count = lambda: spam_scores(docs).where("is_spam").count()
+    some = count()
+    assert 0 < some < 80
+    monkeypatch.setattr("quern.llm.spam.CUT", 1.0)
+    assert count() > 2 * some
 
 
 def test_scores_by_language(spark, tables):
