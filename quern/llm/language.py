@@ -11,6 +11,14 @@ language, chosen by hash and read whole. Code-switched sequences are made by joi
 of different texts; after a first round, sentences whose label the model
 contradicts are left out (labels are wrong in places). Everything else reads all texts.
 
+Words carry the labels: within a sentence, runs of ``SENTENCE_WORDS`` words or
+more of one language are kept apart (fewer go with their neighbours, as a few
+foreign words are no segment), so a sentence that changes its language in the
+middle gives two segments; each segment has the offsets of its characters. A
+sentence is full in a language if it is long enough and its mean marginal is
+``SURE``. A segment of which too few words are known in its language (function
+words and words of the training texts) is of no known language: ``und``.
+
 A passage in brackets is read apart from the sentence around it. It counts if it
 is a full sentence: it begins like one, ends in a stop or stands between
 sentences, and has the words of one; other bracketed words are no segment, unless
@@ -25,6 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +46,6 @@ from pyspark.sql import types as T
 from quern.llm.textnorm import CJK
 from quern.llm.tokens import clean_language
 from quern.llm.words import LANGS, languages_of
-from quern.session import spread
 
 #: Labelled texts per language that the model is fitted on, and the most words of a training sentence, longer ones being several.
 PER_LANGUAGE, TRAIN_WORDS = 200, 60
@@ -45,8 +53,13 @@ BUCKETS = 1 << 15
 EPOCHS, BATCH, RATE = 3, 64, 0.05
 #: Least words (characters, in scripts without spaces) of a full sentence, and its least mean marginal.
 SENTENCE_WORDS, SENTENCE_CHARS, SURE = 4, 8, 0.6
+#: Least share of a segment's words that its language must know, and of its different words, or so many of these.
+KNOWN, KNOWN_KINDS, ENOUGH_KINDS = 0.2, 0.15, 12
+UND = "und"
 
 _N = len(LANGS)
+_AT = {lang: k for k, lang in enumerate(LANGS)}
+_ALL = (1 << _N) - 1
 _TOKEN = re.compile(f"[{CJK}]|[^\\W\\d_{CJK}]+")
 _SPLIT = re.compile(r"(?<=[.!?…;])[\"”»)\]]*\s+|(?<=[。！？；])|\n\s*\n|\.\.\.|!!")
 _PAREN = re.compile(r"[(（][^()（）\n]{0,200}[)）]")
@@ -54,6 +67,7 @@ _ENDED = re.compile(r"[.!?。！？…][\"”»』」]*$")
 #: Holds the place of a bracketed passage.
 _HELD = "\ue000"
 _KANA = re.compile("[ぁ-ヿ]")
+_WIDE = re.compile(f"[{CJK}]")
 _HAN = re.compile("[㐀-䶿一-鿿豈-﫿]")
 _CYR = re.compile("[Ѐ-ӿ]")
 
@@ -75,7 +89,7 @@ def word_features(word: str) -> list[int]:
         if _KANA.match(prev or " ") or _KANA.match(nxt or " "):
             out.append(_FIXED["kana"])
         return out
-    w = word[:40]
+    w = word
     out = [_FIXED["cyr" if _CYR.search(w) else "latin"], _h("w" + w)]
     out += [_FIXED[f"lex={x}"] for x in languages_of(w)]
     for k in range(1, min(4, len(w)) + 1):
@@ -90,9 +104,8 @@ def _initial() -> np.ndarray:
     w = np.zeros((BUCKETS, _N), dtype=np.float32)
     for k in range(_N):
         w[k, k] = 1.5
-    at = {lang: k for k, lang in enumerate(LANGS)}
     for script, own in (("kana", {"jpn": 2.5}), ("han", {"cmn": 1.0, "jpn": 0.7}), ("cyr", {"rus": 3.0}), ("latin", dict.fromkeys(("en", "deu", "fra", "ita", "spa"), 1.0))):
-        for lang, k in at.items():
+        for lang, k in _AT.items():
             w[_FIXED[script], k] = own.get(lang, -3.0)
     return w
 
@@ -124,56 +137,90 @@ def forward_backward(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -
     return post, pair
 
 
+def _is_char(w: str) -> bool:
+    return w[0] > "⺀" and len(w) == 1 and (_HAN.match(w) or _KANA.match(w)) is not None
+
+
 def tokens_of(text: str) -> list[str]:
     """Words in lower case; characters of scripts without spaces carry their neighbours."""
-    raw = _TOKEN.findall(text)
+    raw = _TOKEN.findall(text.lower())
+    if text.isascii() or not _WIDE.search(text):
+        return raw
     out = []
     for i, w in enumerate(raw):
-        if w[0] > "⺀" and len(w) == 1 and (_HAN.match(w) or _KANA.match(w)):
+        if _is_char(w):
             prev = raw[i - 1] if i and len(raw[i - 1]) == 1 else ""
             nxt = raw[i + 1] if i + 1 < len(raw) and len(raw[i + 1]) == 1 else ""
             out.append(f"{prev}\x00{w}\x00{nxt}")
         else:
-            out.append(w.lower())
+            out.append(w)
     return out
 
 
 class Model:
-    """Weights of the field; ``emissions`` keeps those of words seen before."""
-
-    def __init__(self, weights: np.ndarray, trans: np.ndarray) -> None:
-        self.weights, self.trans = weights, trans
-        self._seen: dict[str, np.ndarray] = {}
+    """Weights of the field, and the words each language knows; the emissions of words seen before are kept as rows of a table."""
+
+    def __init__(self, weights: np.ndarray, trans: np.ndarray, known: dict[str, int] | None = None) -> None:
+        self.weights, self.trans, self.known = weights, trans, known or {}
+        self._row: dict[str, int] = {}
+        self._table = np.zeros((1024, _N))
+        self._knows = np.zeros(1024, dtype=np.int64)
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Rows of the words in the table of emissions."""
+        if len(self._row) > 200_000:
+            self._row.clear()
+        get = self._row.get
+        ids = [get(w, -1) for w in words]
+        if -1 in ids:
+            for i, k in enumerate(ids):
+                if k < 0:
+                    w = words[i]
+                    k = self._row.get(w)
+                    if k is None:
+                        k = self._row[w] = len(self._row)
+                        if k >= len(self._table):
+                            self._table = np.concatenate([self._table, np.zeros_like(self._table)])
+                            self._knows = np.concatenate([self._knows, np.zeros_like(self._knows)])
+                        self._table[k] = self.weights[word_features(w)].sum(0)
+                        self._knows[k] = self.known.get(w, 0) | sum(1 << _AT[x] for x in languages_of(w)) if "\x00" not in w else _ALL
+                    ids[i] = k
+        return np.array(ids, dtype=np.int64)
 
     def emission(self, word: str) -> np.ndarray:
-        got = self._seen.get(word)
-        if got is None:
-            if len(self._seen) > 200_000:
-                self._seen.clear()
-            got = self._seen[word] = self.weights[word_features(word)].sum(0)
-        return got
-
-    def marginals(self, sequences: list[list[str]]) -> list[np.ndarray]:
-        """Marginals of each sequence, worked out in batches of like lengths."""
-        out: list = [np.zeros((0, _N))] * len(sequences)
+        row = self.rows([word])[0]
+        return self._table[row]
+
+    def marginals(self, sequences: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Marginals of each sequence, and the rows of its words, worked out in batches of like lengths."""
+        out: list = [(np.zeros((0, _N)), np.zeros(0, dtype=np.int64))] * len(sequences)
         order = sorted((i for i, s in enumerate(sequences) if s), key=lambda i: len(sequences[i]))
         at = 0
         while at < len(order):
-            # a batch holds at most 64 sequences and some 100,000 words
-            size = 64
+            # a batch holds at most 256 sequences and some 100,000 words
+            size = 256
             while size > 1 and at + size <= len(order) and size * len(sequences[order[min(at + size, len(order)) - 1]]) > 100_000:
                 size //= 2
             some = order[at : at + size]
             lengths = np.array([len(sequences[i]) for i in some])
-            emit = np.zeros((len(some), lengths.max(), _N))
-            for k, i in enumerate(some):
-                emit[k, : lengths[k]] = [self.emission(w) for w in sequences[i]]
+            rows = self.rows([w for i in some for w in sequences[i]])
+            live = np.arange(lengths.max())[None, :] < lengths[:, None]
+            emit = np.zeros((*live.shape, _N))
+            emit[live] = self._table[rows]
             post = self._post(emit, lengths)
+            ends = np.cumsum(lengths)
             for k, i in enumerate(some):
-                out[i] = post[k, : lengths[k]]
+                out[i] = (post[k, : lengths[k]], rows[ends[k] - lengths[k] : ends[k]])
             at += size
         return out
 
+    def knows(self, rows: list[np.ndarray], k: int) -> bool:
+        """Whether language ``k`` knows enough of the words."""
+        every = np.concatenate(rows)
+        hit = self._knows[every] >> k & 1
+        kinds = self._knows[np.unique(every)] >> k & 1
+        return hit.mean() >= KNOWN and kinds.sum() >= max(min(ENOUGH_KINDS, KNOWN_KINDS * len(kinds)), min(2, len(kinds) / 2))
+
     def _post(self, emit: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         e = np.exp(emit - emit.max(2, keepdims=True))
         a = np.exp(self.trans)
@@ -192,8 +239,7 @@ class Model:
 
 def _pieces(texts: list[tuple[str, str]]) -> list[tuple[list[str], int]]:
     """Sentences as words, long ones in several parts, with the number of their text's language."""
-    at = {lang: k for k, lang in enumerate(LANGS)}
-    sentences = [(tokens_of(s), at[lang]) for lang, text in texts for s in _SPLIT.split(text) if s and s.strip()]
+    sentences = [(tokens_of(s), _AT[lang]) for lang, text in texts for s in _SPLIT.split(text) if s and s.strip()]
     return [(ws[i : i + TRAIN_WORDS], k) for ws, k in sentences for i in range(0, len(ws), TRAIN_WORDS)]
 
 
@@ -261,6 +307,7 @@ def fit(texts: list[tuple[str, str]], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     pieces = _pieces(texts)
     weights, trans = _initial(), np.eye(_N) * 3.0
+    known: dict[str, int] = {}
     if pieces:
         _train(pieces, weights, trans, 1, rng)
         first = Model(weights, trans)
@@ -268,73 +315,117 @@ def fit(texts: list[tuple[str, str]], seed: int = 7) -> Model:
         if kept:
             weights = _initial()
             trans = _train(kept, weights, trans, EPOCHS, rng)
-    return Model(weights, trans)
-
-
-def _parts(s: str) -> list[str]:
-    """A sentence, or, if it is very long, its parts."""
-    if len(s) <= 600:
-        return [s]
-    ws = s.split(" ")
-    return [" ".join(ws[i : i + 25]) for i in range(0, len(ws), 25)] if len(ws) > 50 else [s[i : i + 80] for i in range(0, len(s), 80)]
-
-
-def _cut(text: str) -> list[tuple[str, bool]]:
-    """Sentences of a text, and whether they stood in brackets, each after the sentence around it; very long stretches in parts."""
-    inside: list[str] = []
-
-    def keep(m: re.Match) -> str:
-        inside.append(m.group()[1:-1])
-        return f" {_HELD} "
-
-    rest = _PAREN.sub(keep, text.replace(_HELD, " "))
-    alone = not _TOKEN.search(rest)
+            seen = Counter((w, k) for ws, k in kept for w in set(ws) if "\x00" not in w)
+            for (w, k), n in seen.items():
+                if n > 1:  # a word in one sentence only may be a name
+                    known[w] = known.get(w, 0) | 1 << k
+    return Model(weights, trans, known)
+
+
+def _spans(cut: re.Pattern, text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """What lies between the matches of ``cut``."""
+    out, at = [], start
+    for m in cut.finditer(text, start, end):
+        out.append((at, m.start()))
+        at = m.end()
+    return [*out, (at, end)]
+
+
+def _cut(text: str) -> list[tuple[int, str, bool]]:
+    """Sentences of a text: where each begins, its characters (bracketed passages blanked), and whether it stood in brackets.
+
+    A bracketed passage comes after the sentence around it, if it is one itself.
+    """
+    text = text.replace(_HELD, " ")
+    inside = [m.span() for m in _PAREN.finditer(text)] if "(" in text or "（" in text else []
+    if not inside:
+        return [(a, text[a:b], False) for a, b in _spans(_SPLIT, text, 0, len(text)) if text[a:b].strip()]
+    rest = _PAREN.sub(lambda m: _HELD * len(m.group()), text)
+    alone = not _TOKEN.search(rest.replace(_HELD, " "))
     held = iter(inside)
+    brackets = next(held, None)
     out = []
-    for s in _SPLIT.split(rest):
-        if not s or not s.strip():
+    for a, b in _spans(_SPLIT, rest, 0, len(rest)):
+        if not rest[a:b].strip():
             continue
-        own = s.replace(_HELD, " ")
-        out += [(x, False) for x in _parts(own)]
+        own = rest[a:b].replace(_HELD, " ")
+        out.append((a, own, False))
         stands = not _TOKEN.search(own)
-        for _ in range(s.count(_HELD)):
-            b = next(held).strip()
-            first = _TOKEN.search(b)
-            if alone or first and not first.group()[0].islower() and (stands or _ENDED.search(b)):
-                out += [(x, not alone) for x in _SPLIT.split(b) if x and x.strip() for x in _parts(x)]
+        while brackets and brackets[0] < b:
+            x, y = brackets[0] + 1, brackets[1] - 1
+            brackets = next(held, None)
+            first = _TOKEN.search(text, x, y)
+            if alone or first and not first.group()[0].islower() and (stands or _ENDED.search(text[x:y].rstrip())):
+                out += [(c, text[c:d], not alone) for c, d in _spans(_SPLIT, text, x, y) if text[c:d].strip()]
     return out
 
 
-def segments(texts: list[str], model: Model) -> list[list[tuple[str, float, int, bool]]]:
-    """Of each text, its runs of sentences in one language: language, confidence, words, and whether any is a full sentence."""
+def _runs(labels: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Starts and ends of the runs of like labels in one sentence; runs of fewer words than a sentence has go with a neighbour."""
+    edges = np.flatnonzero(np.diff(labels)) + 1
+    if not len(edges):
+        return [(0, len(labels))]
+    starts = [0, *edges.tolist()]
+    ends = [*edges.tolist(), len(labels)]
+    kept: list[list[int]] = []
+    for a, b in zip(starts, ends):
+        if sizes[a:b].sum() >= 1:  # long enough
+            if kept and labels[kept[-1][0]] == labels[a]:
+                kept[-1][1] = b
+            else:
+                kept.append([a, b])
+    if len(kept) < 2:
+        return [(0, len(labels))]
+    # what lies between two runs goes with the one before, what comes first with the one after
+    bounds = [0, *[a for a, _ in kept[1:]], len(labels)]
+    return list(zip(bounds, bounds[1:]))
+
+
+def segments(texts: list[str], model: Model, offsets: bool = False) -> list[list[tuple[str, float, int, bool, int, int]]]:
+    """Of each text, its stretches in one language: language, confidence, words, whether any sentence is full, and (if asked for) where they begin and end."""
     cut = [_cut(t) for t in texts]
-    toks = [[(tokens_of(s), bracketed) for s, bracketed in ss] for ss in cut]
-    posts = model.marginals([[w for ws, _ in ts for w in ws] for ts in toks])
+    toks = [[(at, s, bracketed, tokens_of(s)) for at, s, bracketed in ss] for ss in cut]
+    posts = model.marginals([[w for x in ts for w in x[3]] for ts in toks])
     out = []
-    for ts, post in zip(toks, posts):
+    for ts, (post, rows) in zip(toks, posts):
         runs: list[list] = []
         i = 0
-        for ws, bracketed in ts:
-            if not ws:
+        for at, s, bracketed, ws in ts:
+            n = len(ws)
+            if not n:
                 continue
-            mean = post[i : i + len(ws)].mean(0)
-            i += len(ws)
+            own, mine = post[i : i + n], rows[i : i + n]
+            i += n
+            mean = own.mean(0)
             k = int(mean.argmax())
-            wide = sum("\x00" in w for w in ws) * 2 > len(ws)
-            full = len(ws) >= (SENTENCE_CHARS if wide else SENTENCE_WORDS) and mean[k] >= SURE
+            wide = sum("\x00" in w for w in ws) * 2 > n
+            full = n >= (SENTENCE_CHARS if wide else SENTENCE_WORDS) and mean[k] >= SURE
             if bracketed and not full:
                 continue
-            if runs and runs[-1][0] == k:
-                runs[-1][1] += mean[k] * len(ws)
-                runs[-1][2] += len(ws)
-                runs[-1][3] |= full
-            else:
-                runs.append([k, mean[k] * len(ws), len(ws), full])
-        out.append([(LANGS[k], float(p / n), n, bool(f)) for k, p, n, f in runs] or [("und", 0.0, 0, False)])
+            parts = [(0, n)]
+            if mean[k] < 0.95 and n >= 2 * SENTENCE_WORDS:
+                parts = _runs(own.argmax(1), np.where(["\x00" in w for w in ws], 1 / SENTENCE_CHARS, 1 / SENTENCE_WORDS) + 1e-9)
+            places = [m.span() for m in _TOKEN.finditer(s)] if offsets else ()
+            for a, b in parts:
+                part = own[a:b].mean(0) if len(parts) > 1 else mean
+                j = int(part.argmax()) if len(parts) > 1 else k
+                start, end = (at + places[a][0], at + places[b - 1][1]) if offsets else (0, 0)
+                sure = part[j] * (b - a)
+                if runs and runs[-1][0] == j:
+                    last = runs[-1]
+                    last[1] += sure
+                    last[2] += b - a
+                    last[3] |= full and j == k
+                    last[4], last[5] = min(last[4], start), max(last[5], end)
+                    last[6].append(mine[a:b])
+                else:
+                    runs.append([j, sure, b - a, full and j == k, start, end, [mine[a:b]]])
+        found = [(LANGS[k] if model.knows(words, k) else UND, float(p / n), n, bool(f), a, b) for k, p, n, f, a, b, words in runs]
+        out.append(found or [(UND, 0.0, 0, False, 0, 0)])
     return out
 
 
-_SEGMENT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("n_words", T.LongType()), T.StructField("full", T.BooleanType())])
+_SEGMENT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("n_words", T.LongType()), T.StructField("full", T.BooleanType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
 
 def training_sample(items: DataFrame) -> list[tuple[str, str]]:
@@ -346,25 +437,34 @@ def training_sample(items: DataFrame) -> list[tuple[str, str]]:
     return [(r["lang"], r["text"]) for r in texts.orderBy("item_id").collect()]
 
 
-def text_segments(items: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-    """item_id, position, lang, confidence, n_words and full of every segment, once per item."""
-    from quern.llm.quality import stored_texts
+def text_segments(items: DataFrame, kinds: bool = False, offsets: bool = True) -> DataFrame:
+    """item_id, position, lang, confidence, n_words, full, start and end of every segment, once per item.
+
+    With ``kinds``, texts that are no prose are left out in the same pass.
+    """
+    from quern.llm import quality
 
     spark = items.sparkSession
-    texts = stored_texts(items) if texts is None else texts
     model = fit(training_sample(items))
-    sent = spark.sparkContext.broadcast((model.weights, model.trans))
+    sent = spark.sparkContext.broadcast((model.weights, model.trans, model.known))
+    kind = quality.fit_kinds(quality.sample_texts(items)) if kinds else None
+    judge = spark.sparkContext.broadcast((kind.grams.grams, kind.weights) if kind else None)
     schema = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("segs", T.ArrayType(_SEGMENT))])
+    names = _SEGMENT.names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mine = Model(*sent.value)
+        odd = quality.Kinds(*judge.value) if judge.value else None
         for pdf in batches:
             for at in range(0, len(pdf), 1000):
                 some = pdf.iloc[at : at + 1000]
-                got = segments(some["text"].tolist(), mine)
-                yield pd.DataFrame({"item_id": some["item_id"].tolist(), "segs": [[dict(zip(("lang", "confidence", "n_words", "full"), s)) for s in segs] for segs in got]})
+                if odd:
+                    some = some[[quality.text_kind(quality.Layout(t, odd.grams), odd)[0] is None for t in some["text"]]]
+                got = segments(some["text"].tolist(), mine, offsets)
+                yield pd.DataFrame({"item_id": some["item_id"].tolist(), "segs": [[dict(zip(names, s)) for s in segs] for segs in got]})
 
-    found = spread(texts.where(F.trim("text") != "").select("item_id", "text")).mapInPandas(run, schema)
+    texts = quality.item_texts(items)
+    found = texts.where(F.trim("text") != "").select("item_id", "text").mapInPandas(run, schema)
     return found.select("item_id", F.posexplode("segs").alias("position", "_s")).select("item_id", (F.col("position") + 1).alias("position"), "_s.*")
 
 
@@ -377,12 +477,7 @@ def text_languages(segs: DataFrame) -> DataFrame:
 
 def label_cases(items: DataFrame) -> DataFrame:
     """Item versions whose label is missing, wrong or names one of several languages: a row per language of the text."""
-    from quern.llm.quality import stored_texts, text_statistics
-
-    texts = stored_texts(items)
-    odd = text_statistics(texts).where("text_kind is not null").select("item_id")
-    langs = text_languages(text_segments(items, texts)).where("lang <> 'und'").groupBy("item_id").agg(F.collect_set("lang").alias("langs"))
-    langs = langs.join(odd, "item_id", "left_anti")
+    langs = text_languages(text_segments(items, kinds=True, offsets=False)).where("lang <> 'und'").groupBy("item_id").agg(F.collect_set("lang").alias("langs"))
     versions = items.where("text is not null").groupBy("item_id", "iteration").agg(F.min(clean_language(F.col("subset"))).alias("label"))
     wrong = F.col("label").isNull() | (F.size("langs") > 1) | ~F.array_contains("langs", F.col("label"))
     return versions.join(langs, "item_id").where(wrong).select("item_id", "iteration", F.explode("langs").alias("lang"))

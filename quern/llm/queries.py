@@ -37,12 +37,13 @@ def p4_segments(spark, sf_dir):
 
 
 def p5_found(spark, sf_dir):
-    return quality.text_statistics(quality.stored_texts(load(spark, sf_dir, "items"))).where("text_kind is not null").select("item_id", "text_kind")
+    return quality.text_statistics(load(spark, sf_dir, "items")).where("text_kind is not null").select("item_id", "text_kind")
 
 
 def p5_statistics(spark, sf_dir):
     """All figures of every item's text."""
-    return quality.text_statistics(quality.stored_texts(load(spark, sf_dir, "items")))
+    items = load(spark, sf_dir, "items")
+    return quality.text_statistics(items, common=quality.common_list(items))
 
 
 def p6_found(spark, sf_dir):

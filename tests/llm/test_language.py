@@ -42,7 +42,7 @@ def test_held_out_accuracy_and_segments(tables):
     assert [s[0] for s in L.segments([mixed], model)[0]] == ["en", "deu", "rus"]
     few = "The old miller keeps the letter under the stairs (la llave de la capilla). Nobody asks him why, but the village talks."
     assert [s[0] for s in L.segments([few], model)[0]] == ["en"]
-    assert L.segments(["", "123 !!"], model) == [[("und", 0.0, 0, False)]] * 2
+    assert L.segments(["", "123 !!"], model) == [[("und", 0.0, 0, False, 0, 0)]] * 2
     assert len(L.segments(["The tired clerk opens the door. " * 4000], model)[0]) == 1
 
 
@@ -85,3 +85,27 @@ def test_whole_texts_are_trained_on():
     assert [w for ws, k in pieces if k == L.LANGS.index("en") for w in ws] == L.tokens_of(long)
     assert [w for ws, k in pieces if k == L.LANGS.index("deu") for w in ws] == L.tokens_of(late)
     assert all(0 < len(ws) <= L.TRAIN_WORDS for ws, _ in pieces)
+
+
+def test_a_sentence_that_changes_its_language_and_unknown_ones(tables):
+    rows = [(r.lang, r.text) for r in tables("documents", "sf0.1").where("length(text) > 60").select(clean_language("lang").alias("lang"), "text").where("lang is not null").orderBy("text").limit(1600).collect()]
+    model = L.fit(rows)
+    text = "The old miller keeps the letter under the stairs because mais personne ne sait pourquoi il garde la lettre sous l'escalier."
+    got = L.segments([text], model, offsets=True)[0]
+    assert [s[0] for s in got] == ["en", "fra"]
+    assert text[got[0][4] : got[0][5]].startswith("The old miller") and text[got[1][4] : got[1][5]].endswith("sous l'escalier") and got[0][5] <= got[1][4]
+    strange = [
+        "De oude molenaar herstelt de brug achter de school. Niemand vraagt hem waarom, hoewel het dorp er nog steeds over praat.",
+        "Stary młynarz naprawia most za szkołą. Nikt go nie pyta dlaczego, chociaż wieś wciąż o tym mówi. W końcu zmęczony urzędnik przynosi mu list.",
+        "يصلح الطحان العجوز الجسر خلف المدرسة. لا أحد يسأله لماذا، رغم أن القرية لا تزال تتحدث عن ذلك.",
+        "오래된 방앗간 주인이 학교 뒤에 있는 다리를 고친다. 아무도 그에게 이유를 묻지 않지만 마을은 여전히 그 이야기를 한다.",
+    ]
+    assert [{s[0] for s in segs} for segs in L.segments(strange, model)] == [{"und"}] * len(strange)
+    assert {s[0] for s in L.segments(["Photosynthesis converts light energy into chemical energy inside the cells of a plant, and the pigments absorb it."], model)[0]} == {"en"}
+
+
+def test_offsets_cover_the_words():
+    model = L.fit([])
+    text = "The letter of the clerk was (это письмо было не в доме, и он не знает, что это.) in the house and it is old.\n\nЭто письмо было не в доме, и он не знает."
+    for lang, _, n, _, a, b in L.segments([text], model, offsets=True)[0]:
+        assert 0 <= a < b <= len(text) and n and lang in ("en", "rus")
