@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,23 +29,31 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or in local mode, where it may be unset, one of our own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="quern-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
 
 
-#: Rows up to which a table of known size is broadcast.
-BROADCAST_ROWS = 100_000
+#: Bytes up to which a table that the driver made is broadcast.
+BROADCAST_BYTES = 8 << 20
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of the driver's rows, with a broadcast hint if their measured size allows one; else for a shuffle join."""
+    size = sum(16 + sum(2 * len(x) + 8 if isinstance(x, str) else 8 for x in r) for r in rows)
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
-    """A broadcast hint for a table that has been counted and is small; else the table as it is, for a shuffle join."""
-    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if n_rows <= 100_000 else df
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -73,10 +82,16 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Bytes of a scan up to which it may be spread by a shuffle.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """A scan of few splits (small files) over all cores, ahead of work per row in Python; other scans as they are.
+    """A small scan (few files or row groups, ``SPREAD_BYTES`` at most) over all cores, ahead of work per row in Python; other scans as they are.
 
     Only for plans without a shuffle: counting the splits of one would run it.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    spark = scan.sparkSession
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    cores = spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if size <= SPREAD_BYTES and scan.rdd.getNumPartitions() < cores else scan
