@@ -92,6 +92,6 @@ def spread(scan: DataFrame) -> DataFrame:
     Only for plans without a shuffle: counting the splits of one would run it.
     """
     spark = scan.sparkSession
-    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = spark.sparkContext.defaultParallelism
     return scan.repartition(cores) if size <= SPREAD_BYTES and scan.rdd.getNumPartitions() < cores else scan
