@@ -18,6 +18,7 @@ proportions; a repeat cap below 1 excludes the source; empty tables give no rows
 
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -25,12 +26,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.tokens import TOKENIZER, count_tokens
-from quern.session import broadcast_if_small, materialize
+from quern.session import materialize, small_table
 
 SEED = 20250101
 BUCKET = 50_000
-#: Tokens left to the dynamic programming.
-DP_TOKENS = 200_000
+#: Rows of a plan from which on it is not broadcast, and the places in which the documents of a length meet it then.
+MANY, SALT = 50_000, 16
+#: Tokens left to the dynamic programming: so many, or so many times the largest length; and the draws of the bulk.
+DP_TOKENS, DP_LENGTHS, DRAWS = 200_000, 6, 8
 
 
 def clean_source(source: Column) -> Column:
@@ -44,26 +47,53 @@ def sized_documents(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFra
 
 
 def fit(hist: dict[int, int], budget: int) -> dict[int, int]:
-    """How many of each length to take so that the lengths sum to ``budget``, or to the most below it that is found."""
+    """How many of each length to take so that the lengths sum to ``budget``, or to the most below it that is found.
+
+    The bulk is spent in proportion; what is left, ``DP_TOKENS`` or ``DP_LENGTHS``
+    times the largest length, is met by dynamic programming over all lengths, so it
+    holds several documents of any size. A budget no larger than that is met as
+    well as can be; for a larger one the bulk is drawn anew, ``DRAWS`` times at
+    most, while it leaves a gap.
+    """
     total = sum(k * n for k, n in hist.items())
     if budget >= total:
         return dict(hist)
-    take = dict.fromkeys(hist, 0)
-    bulk = budget - DP_TOKENS // 2
-    if bulk > 0:
-        for k, n in hist.items():
-            take[k] = n * bulk // total
+    room = max(DP_TOKENS, DP_LENGTHS * max(hist))
+    best, gap = {}, budget + 1
+    for draw in range(DRAWS if budget > room else 1):
+        take, rest = _bulk(hist, budget, total, room, random.Random(draw))
+        missed = _knapsack(hist, take, rest)
+        if missed < gap:
+            best, gap = take, missed
+        if not gap:
+            break
+    return best
+
+
+def _bulk(hist: dict[int, int], budget: int, total: int, room: int, rng: random.Random) -> tuple[dict[int, int], int]:
+    """All but ``room`` of the budget, in proportion over the lengths; what rounding leaves is drawn from lengths in any order, so that the rest is of no special kind."""
+    if budget <= room:
+        return dict.fromkeys(hist, 0), budget
+    take = {k: n * (budget - room) // total for k, n in hist.items()}
     rest = budget - sum(k * n for k, n in take.items())
-    for k in sorted(hist, reverse=True):  # what rounding left, down to what the table below can hold
-        if rest <= DP_TOKENS:
+    order = list(hist)
+    while rest > room:
+        rng.shuffle(order)
+        before = rest
+        for k in order:
+            if rest > room and take[k] < hist[k]:
+                more = max(1, min(hist[k] - take[k], (rest - room) // (k * len(order))))
+                take[k] += more
+                rest -= more * k
+        if rest == before:
             break
-        more = min(hist[k] - take[k], (rest - DP_TOKENS // 2) // k)
-        if more > 0:
-            take[k] += more
-            rest -= more * k
+    return take, rest
+
+
+def _knapsack(hist: dict[int, int], take: dict[int, int], rest: int) -> int:
+    """Adds to ``take`` documents whose lengths sum to ``rest`` or to the most below it; returns what is missing."""
     parts: list[tuple[int, int]] = []
-    open_lengths = [k for k in sorted(hist) if hist[k] > take[k] and k <= rest]
-    for k in open_lengths:
+    for k in sorted(hist):
         left, chunk = min(hist[k] - take[k], rest // k), 1
         while left > 0:
             size = min(chunk, left)
@@ -79,11 +109,12 @@ def fit(hist: dict[int, int], budget: int) -> dict[int, int]:
         if bits >> rest & 1:
             break
     at = bits.bit_length() - 1
+    missing = rest - at
     while at:
         k, size = parts[via[at]]
         take[k] += size
         at -= k * size
-    return take
+    return missing
 
 
 def budgets(available: dict[str, int], targets: dict[str, tuple[float, int]], total: int | None = None) -> dict[str, int]:
@@ -117,10 +148,12 @@ def mix_documents(table: DataFrame, mix_targets: DataFrame, total: int | None =
     """doc_id, source, n_tokens and n_uses of the documents of the mix; ``table`` as of ``sized_documents``."""
     spark = table.sparkSession
     rows, _ = plan(table, mix_targets, total)
-    wanted = spark.createDataFrame(rows, "source string, n_tokens long, passes int, more long, buckets int")
-    wanted = broadcast_if_small(wanted, len(rows))
+    # a plan that may be too large to be broadcast is met by the documents of a hot length in ``SALT`` places
+    salt = SALT if len(rows) > MANY else 1
+    wanted = small_table(spark, [(*r, x) for r in rows for x in range(salt)], "source string, n_tokens long, passes int, more long, buckets int, _salt int")
     group = ["source", "n_tokens"]
-    docs = table.join(wanted, group).withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("_b", F.pmod("_h", F.col("buckets").cast("long")))
+    hashed = table.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("_salt", F.pmod(F.shiftright("_h", 20), F.lit(salt)).cast("int"))
+    docs = hashed.join(wanted, [*group, "_salt"]).withColumn("_b", F.pmod("_h", F.col("buckets").cast("long")))
     counts = docs.where("buckets > 1").groupBy(*group, "_b").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # a hot length meets its running counts by (source, length, bucket), so its rows are spread over its buckets

@@ -27,6 +27,11 @@ def p3_reliability(spark, sf_dir):
     return _consensus(spark, sf_dir)[1]
 
 
+def p3_dimension_agreement(spark, sf_dir):
+    """How far reviewers agree on the scores of each voice and dimension."""
+    return consensus.dimension_agreement(load(spark, sf_dir, "reviews"))
+
+
 def p4_found(spark, sf_dir):
     return language.label_cases(load(spark, sf_dir, "items"))
 
@@ -87,5 +92,5 @@ def p10_site_rates(spark, sf_dir):
     return spam.spam_scores(load(spark, sf_dir, "documents"), "site").groupBy("site").agg(F.count("*").alias("n_docs"), F.count_if("is_spam").alias("n_spam"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_agreement, p3_reliability, p4_found, p4_segments, p5_found, p5_statistics, p6_found, p6_cut_rates, p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_agreement, p3_reliability, p3_dimension_agreement, p4_found, p4_segments, p5_found, p5_statistics, p6_found, p6_cut_rates, p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}
 SQL: dict[str, str] = {}

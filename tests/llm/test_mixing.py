@@ -62,3 +62,23 @@ def test_every_open_length_can_be_drawn_on():
     hist = {1000 + k: 1 for k in range(5000)}  # every second length is even, and so are their sums
     take = mixing.fit(hist, 150_001)
     assert sum(k * n for k, n in take.items()) == 150_001 and all(n <= hist[k] for k, n in take.items())
+
+
+def test_long_documents_meet_their_budget():
+    hist = {200_000 + k: 5 for k in range(50)}
+    budget = sum(k * n for k, n in hist.items()) // 2
+    take = mixing.fit(hist, budget)
+    assert budget - sum(k * n for k, n in take.items()) <= 5 and all(0 <= n <= hist[k] for k, n in take.items())
+    mixed = {k: 400 for k in range(40, 900, 7)} | {1_000_000 + 13 * k: 2 for k in range(9)}
+    budget = sum(k * n for k, n in mixed.items()) // 3
+    take = mixing.fit(mixed, budget)
+    assert budget == sum(k * n for k, n in take.items()) and all(0 <= n <= mixed[k] for k, n in take.items())
+
+
+def test_a_plan_too_large_to_broadcast_gives_the_same_mix(spark, monkeypatch):
+    table = _table(spark, [(k, "a" if k % 4 else "b", 10 + k % 5) for k in range(600)])
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 3)], "source string, target_share double, max_repeats int")
+    want = sorted(map(tuple, mixing.mix_documents(table, targets).collect()))
+    monkeypatch.setattr(mixing, "MANY", 3)
+    monkeypatch.setattr("quern.session.BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, mixing.mix_documents(table, targets).collect())) == want

@@ -80,6 +80,7 @@ def test_scores(spark):
     assert t.scored_values(items.limit(0)).collect() == []
 
 
+CELLS = "model string, field_name string, n_chars long, ending string"
 SCHEMA = "item_id string, iteration int, model string, gen_prompt string, reflection string, raw_response string"
 
 
@@ -93,8 +94,10 @@ def test_a_source_that_rarely_cuts_keeps_its_cuts(spark):
     rows = [(f"w{k}", 1, "hot", "p", s * (2 + k % 7), None) for k in range(997)]
     rows += [(f"c{k}", 1, "hot", "p", s * (2 + k) + "It gives way to conv", None) for k in range(3)]  # 0.3 %
     assert _cut_ids(spark, rows) == {"c0", "c1", "c2"}
-    # marks and open structures, in a source that cuts one value in ten thousand
-    assert t.length_limits(spark.createDataFrame([("hot", "reflection", 100 + k % 300, k == 0) for k in range(10_000)], "model string, field_name string, n_chars long, cut boolean"))[("hot", "reflection")]["prior"] + t.ENDINGS["unseen"] > 0
+    # marks, open structures and unseen words, in a source that cuts one value in ten thousand
+    sources, weights = t.fit_sources(spark.createDataFrame([("hot", "reflection", 100 + k % 300, "mark" if k == 0 else "whole") for k in range(10_000)], CELLS))
+    shows = [weights[t._CLASS[c]] for c in ("mark", "open", "unseen")]
+    assert sources[("hot", "reflection")].prior + min(shows) > 0
 
 
 def test_the_posterior_alone_can_tell(spark):
@@ -108,6 +111,29 @@ def test_the_posterior_alone_can_tell(spark):
 
 
 def test_a_weak_posterior_leaves_whole_endings(spark):
-    rows = [("m", "reflection", 100 + k % 50, False) for k in range(400)] + [("m", "reflection", 120, True)] * 100
-    at = t.length_limits(spark.createDataFrame(rows, "model string, field_name string, n_chars long, cut boolean"))[("m", "reflection")]["limits"]
-    assert list(at) == [120] and 0 < at[120][1] < -t.ENDINGS["whole"]
+    rows = [("m", "reflection", 100 + k % 50, "whole") for k in range(400)] + [("m", "reflection", 120, "unseen")] * 100
+    sources, weights = t.fit_sources(spark.createDataFrame(rows, CELLS))
+    at = sources[("m", "reflection")].limits
+    assert list(at) == [120] and 0 < at[120][1] < -weights[t._CLASS["whole"]]
+
+
+def test_endings_weigh_what_the_values_show():
+    none = np.zeros(len(t.ENDINGS))
+    start = t.ending_weights(none, none)
+    assert start[t._CLASS["unseen"]] > 3 and start[t._CLASS["whole"]] < -3
+    # where whole values often end in words not seen elsewhere, such an end weighs less
+    cut, whole = none.copy(), none.copy()
+    whole[t._CLASS["unseen"]], whole[t._CLASS["whole"]], cut[t._CLASS["unseen"]] = 5000, 5000, 100
+    assert t.ending_weights(cut, whole)[t._CLASS["unseen"]] < start[t._CLASS["unseen"]] - 3
+
+
+def test_rows_that_length_overturns_are_counted(spark):
+    s, limit = "It gives way to convenience. ", 57
+    rows = [(f"w{k}", 1, "m", "p", s * (20 + k % 40), None) for k in range(400)]
+    rows += [(f"l{k}", 1, "m", "p", ("Now then, " + s * 2)[:limit], None) for k in range(30)] + [("x", 1, "m", "p", (s * 2).strip(), None)]
+    items = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "timestamp_ntz'2025-01-01' created_at")
+    assert [(r.n_cut, r.n_by_length) for r in t.cut_rates(t.scored_values(items)).collect()] == [(31, 1)]
+
+
+def test_long_words_stay_whole():
+    assert t._key("So " + "a" * 300 + " " + "b" * 300) == "so " + "a" * 300 + "|" + "a" * 300 + " " + "b" * 300
