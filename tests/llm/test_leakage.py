@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quern.llm.leakage import Items, leak_counts, leaked_pairs, myers
+from quern.llm.leakage import Items, Wording, leak_counts, leaked_pairs, myers
 from quern.llm.textnorm import fold_tokens
 
 
@@ -71,7 +71,7 @@ CASES = [
 @pytest.mark.parametrize("n", range(len(CASES)))
 def test_cases(n):
     text, want = CASES[n]
-    items = Items([(i, t) for i, t in ITEMS if t is not None])
+    items = Items.of([(i, t) for i, t in ITEMS if t is not None])
     assert set(items.matches(text)) == want
 
 
@@ -86,7 +86,7 @@ def test_pairs_equal_brute_force(spark):
 
 
 def test_long_documents_are_read_to_the_end():
-    items = Items([("i0", " ".join(PASSAGES[0]))])
+    items = Items.of([("i0", " ".join(PASSAGES[0]))])
     assert items.matches(" ".join(_passage(60_000, 5)) + " " + " ".join(PASSAGES[0])) == ["i0"]
 
 
@@ -99,17 +99,41 @@ def test_a_piece_that_items_share_seeds_too():
     a, b = _passage(24, 61), _passage(24, 62)
     b[5:10] = a[5:10]  # too short for shared wording
     copied = [*a[:4], "zzz", *a[5:10]]  # its only unchanged piece is that one
-    items = Items([("a", " ".join(a)), ("b", " ".join(b))])
+    items = Items.of([("a", " ".join(a)), ("b", " ".join(b))])
     assert items.matches(" ".join(_passage(30, 63) + copied + _passage(30, 64))) == ["a"]
 
 
 def test_two_texts_of_one_item_keep_their_common_pieces():
     a = _passage(60, 65)
-    items = Items([("a", " ".join(a)), ("a", " ".join(a + ["zzz"]))])
+    items = Items.of([("a", " ".join(a)), ("a", " ".join(a + ["zzz"]))])
     assert set(items.matches(" ".join(_passage(30, 66) + a + _passage(30, 67)))) == {"a"}
 
 
 def test_wording_shared_up_to_a_word_is_no_leak():
     phrase = _passage(11, 68)
-    items = Items([(x, " ".join([*_passage(14, 70 + k), *phrase[:5], x, *phrase[6:]])) for k, x in enumerate("ab")])
+    items = Items.of([(x, " ".join([*_passage(14, 70 + k), *phrase[:5], x, *phrase[6:]])) for k, x in enumerate("ab")])
     assert items.matches(" ".join([*_passage(30, 72), *phrase, *_passage(30, 73)])) == []
+
+
+def test_rows_do_not_depend_on_how_items_are_split(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(CASES)] + [(99, CASES[0][0])], "doc_id long, text string")
+    more = [(f"i{k} ", TASK + "\n" + " ".join(_passage(60, 500 + k))) for k in range(3)] + [("i0", " ".join(PASSAGES[0]) + " again")]
+    bench = spark.createDataFrame(ITEMS + more, "item_id string, text string")
+    whole = sorted(map(tuple, leaked_pairs(docs, bench).collect()))
+    assert (99, "i0") in whole and len(set(whole)) == len(whole)
+    for most in (1, 700):  # an item a pass; and a few
+        monkeypatch.setattr("quern.llm.leakage.PASS_BYTES", most)
+        assert sorted(map(tuple, leaked_pairs(docs, bench).collect())) == whole
+
+
+def test_wording_shared_over_passes_is_masked():
+    task = " ".join(_passage(12, 80))
+    items = [(x, task + " " + " ".join(_passage(25, 81 + k))) for k, x in enumerate("abc")]
+    text = " ".join([*_passage(30, 90), task, *_passage(30, 91)])
+    parts = Wording(items).passes(1)
+    assert len(parts) == 3 and all(Items(*p).matches(text) == [] for p in parts)
+    # a piece shared over passes: the copy of one is no leak of the other
+    a, b = _passage(24, 61), _passage(24, 62)
+    b[5:10] = a[5:10]
+    copied = " ".join(_passage(30, 63) + [*a[:4], "zzz", *a[5:10]] + _passage(30, 64))
+    assert [Items(*p).matches(copied) for p in Wording([("a", " ".join(a)), ("b", " ".join(b))]).passes(1)] == [["a"], []]
