@@ -3,12 +3,15 @@
 Problem 1. ``split_packed`` reads one field character by character. Its states are
 the start of a member, inside a bare member, inside a quoted one and after a
 quoted one; beside these it tracks the nesting depth of brackets. A delimiter
-counts only outside quotes, and, since titles may themselves hold commas,
-slashes or bars, only where a new element id (or the end) follows it.
+counts only outside quotes. Where members begin with an element id, as in this
+project, and titles may themselves hold commas, slashes or bars, it counts only
+before a new id (or the end); in a field without any id, every delimiter counts.
+Bracketed citations go through the same tokenizer: a member is the id with which
+it begins, or, in quotes, the ids it consists of.
 
 Defined results: null and empty fields, ``[]`` and fields of delimiters alone
 give no rows; repeats are kept and get their own place; a quote that is never
-closed ends with the field; very long fields are read in one pass; extra
+closed ends with the field; fields are read in one pass, in time linear in their length; extra
 columns of the input play no part.
 """
 
@@ -21,13 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.tables import item_versions
-
 _ID = re.compile(r"(?:[A-Z]|\d+)\.\d+(?!\w|\.\d)")
+_BARE_ID = re.compile(r"\W*(?:[A-Z]|\d+)\.\d+|cf\.", re.I)
 _DELIMS = frozenset(",;|/&·、；，\t\n\r")
 _WORD_DELIM = re.compile(r"\s+and\s+", re.I)
 _CLOSERS = {'"': '"', "'": "'", "“": "”", "«": "»"}
 _OPEN, _CLOSE = "[(［（{", "])］）}"
+#: Marks before an id, and dashes between ids.
+_SIGNS, _DASHES = frozenset("§"), frozenset("–—")
 _START, _BARE, _QUOTED, _AFTER = range(4)
 
 
@@ -35,7 +39,7 @@ def _id_follows(s: str, i: int) -> tuple[bool, int]:
     """Whether an id or the end follows, past delimiters, white space, brackets and quotes; and where it looked."""
     n = len(s)
     while True:
-        while i < n and (s[i].isspace() or s[i] in _DELIMS or s[i] in _CLOSERS or s[i] in _OPEN or s[i] in _CLOSE or s[i] == "\\"):
+        while i < n and (s[i].isspace() or s[i] in _DELIMS or s[i] in _SIGNS or s[i] in _CLOSERS or s[i] in _OPEN or s[i] in _CLOSE or s[i] == "\\"):
             i += 1
         if i >= n:
             return True, n
@@ -49,13 +53,26 @@ def split_packed(field: str | None) -> list[str]:
     return [value for value, _ in _tokens(field)]
 
 
-def _tokens(field: str | None) -> list[tuple[str, bool]]:
-    """The members of one packed field, in order, and whether each stood in quotes that close."""
+def _tokens(field: str | None, cited: bool = False) -> list[tuple[str, bool]]:
+    """The members of one packed field, in order, and whether each stood in quotes that close.
+
+    In a citation (``cited``) a quote that never closes is an ordinary character.
+    """
     if not field:
         return []
     out: list[tuple[str, bool]] = []
     buf: list[str] = []
     state, closer, escaped, depth, i, n = _START, "", False, 0, 0, len(field)
+    free = _ID.search(field) is None  # no ids: every delimiter counts
+    opened = -1
+    known = (0, -1, False)  # a stretch without anything but delimiters, quotes and brackets, and what follows it
+
+    def follows(at: int) -> bool:
+        nonlocal known
+        if not known[0] <= at <= known[1]:
+            found, seen = _id_follows(field, at)
+            known = (at, seen, found)
+        return known[2]
 
     def emit(quoted: bool = False) -> None:
         value = "".join(buf).strip().strip("　")
@@ -63,9 +80,14 @@ def _tokens(field: str | None) -> list[tuple[str, bool]]:
         if value:
             out.append((value, quoted))
 
-    while i < n:
+    while i < n or cited and state == _QUOTED:
+        if i >= n:  # never closed: again from the quote on, as a bare member
+            buf.clear()
+            i, state = opened + 1, _BARE
+            continue
         ch = field[i]
         if state == _START:
+            opened = i
             if ch == "\\" and i + 1 < n and field[i + 1] in _CLOSERS:
                 i, escaped = i + 1, True
                 closer, state = _CLOSERS[field[i]], _QUOTED
@@ -91,7 +113,7 @@ def _tokens(field: str | None) -> list[tuple[str, bool]]:
                     buf.append({"n": "\n", "t": "\t"}.get(nxt, nxt))
                     i += 1
             elif ch == closer and not escaped:
-                if i + 1 < n and field[i + 1] == closer and closer == '"' and not (buf == [] and _id_follows(field, i + 2)[0]):
+                if i + 1 < n and field[i + 1] == closer and closer == '"' and not (buf == [] and follows(i + 2)):
                     buf.append(ch)  # a doubled quote stands for one
                     i += 1
                 else:
@@ -115,15 +137,14 @@ def _tokens(field: str | None) -> list[tuple[str, bool]]:
                 depth -= 1
                 state = _START
                 emit()
-            elif ch in _DELIMS or ch.isspace():
-                ends, seen = _id_follows(field, i + 1)
-                if ends:
+            elif ch in _DELIMS or ch.isspace() or ch in _DASHES and not free:
+                # in a citation, mere space parts ids, not a title and an id it mentions
+                split = ch in _DELIMS if free else follows(i + 1) and not (cited and ch.isspace() and ch not in _DELIMS and (len(buf) > 12 or not _BARE_ID.fullmatch("".join(buf))))
+                if split:
                     state = _START
                     emit()
-                else:  # no delimiter up to there either
-                    stop = seen if not depth else i + 1
-                    buf.append(field[i:stop])
-                    i = stop - 1
+                else:
+                    buf.append(ch)
             else:
                 buf.append(ch)
         i += 1
@@ -131,7 +152,7 @@ def _tokens(field: str | None) -> list[tuple[str, bool]]:
     return out
 
 
-_NOT_MEMBER = re.compile(r"[\w.]")
+#: Marks that may stand before a member's id.
 _LEAD = re.compile(r"(?:cf\.|\W)*", re.I)
 #: A quoted member, from its quote to the delimiter or bracket after it.
 _QUOTED_MEMBER = re.compile(r"""(?:"(?:[^"\\\n]|\\.|"")*"|'[^'\\\n]*'|“[^”\n]*”|«[^»\n]*»)(?=\s*[,;|/&·、；，\]］])""")
@@ -167,15 +188,15 @@ def bracket_members(text: str | None, known: frozenset[str]) -> list[str]:
         elif not ch.isspace():
             fresh = ch in _DELIMS
         i += 1
-    return [x for start, end in closed for value, quoted in _tokens(text[start:end]) for x in _members(value, quoted, known)]
+    return [x for start, end in closed for value, quoted in _tokens(text[start:end], cited=True) for x in _members(value, quoted, known)]
 
 
 def _members(value: str, quoted: bool, known: frozenset[str]) -> list[str]:
-    """The known ids of one member: of a quoted one that with which it begins, or all if it holds nothing else."""
-    if quoted and not all(_ID.fullmatch(x) for x in split_packed(value)):
-        m = _ID.match(value, _LEAD.match(value).end())
-        return [m.group()] if m and m.group() in known else []
-    return [m.group() for m in _ID.finditer(value) if not (m.start() and _NOT_MEMBER.match(value[m.start() - 1])) and m.group() in known]
+    """The known ids of one member: that with which it begins, or all, if it is quoted and holds nothing else."""
+    if quoted and all(map(_ID.fullmatch, inner := split_packed(value))):
+        return [x for x in inner if x in known]
+    m = _ID.match(value, _LEAD.match(value).end())
+    return [m.group()] if m and m.group() in known else []
 
 
 _STRINGS = T.ArrayType(T.StringType())
@@ -211,12 +232,9 @@ def explode_members(df: DataFrame, keys: list[str], fields: dict[str, Column]) -
 def packed_elements(items: DataFrame, charter_elements: DataFrame) -> DataFrame:
     """Problem 1 over whole tables: each element of both fields, once per item version."""
     known = [r[0] for r in charter_elements.select("element_id").where("element_id is not null").distinct().collect()]  # a fixed vocabulary
-    versions = item_versions(items, "reflection", "reflection_charter_elements")
-    return explode_members(
-        versions,
-        ["item_id", "iteration"],
-        {
-            "reflection": cited_members(F.col("reflection"), known),
-            "reflection_charter_elements": packed_values(F.col("reflection_charter_elements")),
-        },
-    )
+    # the members, not the texts, are shuffled; of several deliveries of a version the earliest counts
+    members = F.struct(cited_members(F.col("reflection"), known).alias("reflection"), packed_values(F.col("reflection_charter_elements")).alias("reflection_charter_elements"))
+    rows = items.select("item_id", "iteration", "created_at", members.alias("_m"))
+    born = F.coalesce("created_at", F.lit("9999-01-01").cast("timestamp_ntz"))
+    versions = rows.groupBy("item_id", "iteration").agg(F.min_by("_m", born).alias("_m"))
+    return explode_members(versions, ["item_id", "iteration"], {f: F.col("_m")[f] for f in ("reflection", "reflection_charter_elements")})

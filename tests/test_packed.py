@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -94,8 +95,11 @@ def test_versions_once_and_clashing_columns(spark):
         ('["3.1 a title that names 4.2", \'4.2 another ] 3.1\', "§4.2"]', ["3.1", "4.2", "4.2"]),
         ('[\\"3.1 names 4.2\\"; cf. 4.2]', ["3.1", "4.2"]),
         ('["3.1, 4.2"] ["3.1 Truth, 4.2]', ["3.1", "4.2", "3.1", "4.2"]),
-        ("[3.1 a title, 4.2–3.1 (see 4.2)]", ["3.1", "4.2", "3.1", "4.2"]),
-        ("[open 3.1 [4.2] don't ['tis 3.1]", ["4.2", "3.1"]),
+        ("[3.1 a title, 4.2–3.1 (see 4.2)]", ["3.1", "4.2", "3.1"]),  # a mention within a member is none
+        ("[see Article 3.1 of the law]", []),
+        ('["not 3.1, or"]', []),
+        ("[§3.1, §4.2 & 3.1]", ["3.1", "4.2", "3.1"]),
+        ("[open 3.1 [4.2] don't ['tis 3.1]", ["4.2"]),
         ("[[3.1] [4.2]] ]", ["3.1", "4.2"]),
     ],
 )
@@ -107,3 +111,17 @@ def test_many_brackets_are_read_in_one_pass():
     assert bracket_members("[" * 200_000 + "3.1" + "]" * 200_000, frozenset({"3.1"})) == ["3.1"]
     assert len(bracket_members("[3.1] " * 50_000, frozenset({"3.1"}))) == 50_000
     assert bracket_members("[" + '"' * 100_000, frozenset({"3.1"})) == []
+
+
+def test_without_ids_every_delimiter_outside_quotes_counts():
+    assert split_packed("red, green, 'blue, or; so' ; x") == ["red", "green", "blue, or; so", "x"]
+    assert split_packed("1.1 red, green, 2.2 blue") == ["1.1 red, green", "2.2 blue"]
+
+
+def test_fields_take_linear_time():
+    began = time.perf_counter()
+    for odd in ("[x" + "," * 1_000_000, '""' * 300_000, "[1.1 " * 100_000, '["a' * 100_000, "and " * 100_000, "'" + "a 1.1, " * 100_000):
+        split_packed(odd)
+        bracket_members(odd, frozenset({"1.1"}))
+        bracket_members(f"[{odd}]", frozenset({"1.1"}))
+    assert time.perf_counter() - began < 20
