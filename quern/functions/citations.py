@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The forms of a bracket group, an id, a numeric id, and of references and headings in a specification.
 _GROUP = r"\[([A-Z0-9., ]+)\]"
-_ID = r"^(?:[A-Z]+|\d+)\.\d+$"
+ID = r"(?:[A-Z]+|\d+)\.\d+"
+_ID = f"^{ID}$"
 _NUMERIC = r"\d+\.\d+"
+_REFERENCE = rf"\[({ID})\]"
+HEADING = rf"^###\s+({ID})"
 _NONE = "array<string>"
 
 
@@ -47,6 +51,6 @@ def id_order(ident: Column) -> Column:
 
 def spec_ids(markdown: Column) -> Column:
     """Ids of a value specification: inline ``[X.Y]`` references, else headings ``### X.Y``; ordered, distinct."""
-    inline = F.regexp_extract_all(markdown, F.lit(r"\[((?:[A-Z]+|\d+)\.\d+)\]"), F.lit(1))
-    heads = F.regexp_extract_all(markdown, F.lit(r"(?m)^#{2,4}\s+((?:[A-Z]+|\d+)\.\d+)"), F.lit(1))
+    inline = F.regexp_extract_all(markdown, F.lit(_REFERENCE), F.lit(1))
+    heads = F.regexp_extract_all(markdown, F.lit(f"(?m){HEADING}"), F.lit(1))
     return F.array_distinct(F.when(F.size(inline) > 0, inline).otherwise(heads))

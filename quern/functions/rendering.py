@@ -7,7 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_HEAD = re.compile(r"^#{2,4}\s+((?:[A-Z]+|\d+)\.\d+)\s*(.*)$")
+from quern.functions.citations import HEADING
+
+_HEAD = re.compile(HEADING + r"\s*(.*)$")
 
 
 def escape_html(text: Column) -> Column:

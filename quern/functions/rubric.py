@@ -64,7 +64,8 @@ def explode_scores(df: DataFrame, *keep: str) -> DataFrame:
     return per.select(*keep, "voice", F.explode("_dims").alias("dim", "score")).where(F.col("score").isNotNull())
 
 
-def majority(votes: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
-    """The most frequent value per key; of equals, the one seen first."""
-    counts = votes.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"), F.min(order).alias("_first"))
-    return counts.groupBy(*keys).agg(F.max_by(value, F.struct(F.col("_n"), -F.col("_first"))).alias(value), F.sum("_n").alias("n_votes"))
+def majority(votes: DataFrame, keys: list[str], value: str, order: str, without: str = "accept") -> DataFrame:
+    """The most frequent value per key; of equals, the one seen first; ``without`` where no row has any."""
+    counts = votes.groupBy(*keys, value).agg(F.count(value).alias("_n"), F.min(order).alias("_first"))
+    best = counts.groupBy(*keys).agg(F.max_by(value, F.struct(F.col("_n"), -F.col("_first"))).alias(value), F.sum("_n").alias("n_votes"))
+    return best.withColumn(value, F.coalesce(value, F.lit(without)))

@@ -92,3 +92,19 @@ def per_group_total(df: DataFrame, group: str, total: str, *aggregates: Column)
     """Aggregates per group and, in the same pass, over all: the row whose group is ``total``."""
     rolled = df.rollup(group).agg(F.grouping(group).alias("_g"), *aggregates)
     return rolled.withColumn(group, F.when(F.col("_g") == 1, F.lit(total)).otherwise(F.col(group).cast("string"))).drop("_g")
+
+
+def linear_percentiles(df: DataFrame, value: str, ps: dict[str, float], *group: str) -> DataFrame:
+    """Per group: percentiles by linear interpolation, from the counts of distinct values; no group's rows are sorted or gathered."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*group)
+    upto = F.sum("_c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    runs = counts.select(*group, value, (upto - F.col("_c")).alias("_from"), upto.alias("_to"), F.sum("_c").over(w).alias("_n"))
+    v = F.col(value).cast("double")
+    out = []
+    for name, p in ps.items():
+        place = F.lit(float(p)) * (F.col("_n") - 1)
+        at = lambda k: F.max(F.when((F.col("_from") <= k) & (F.col("_to") > k), v))
+        low, high = F.floor(place), F.ceil(place)
+        out.append((at(low) + F.max(place - low) * (at(high) - at(low))).alias(name))
+    return runs.groupBy(*group).agg(*out)

@@ -12,11 +12,11 @@ LEAK = rf'(?<![A-Za-z0-9_])(?:{"|".join(BARE_KEYS)})(?![A-Za-z0-9_])|"(?:{"|".jo
 
 #: Common function words by which ``detect_language`` tells the languages of the Latin alphabet apart.
 STOP_WORDS = {
-    "en": "the of and to in that is with for this",
-    "deu": "der die das und den dem mit im nicht von",
-    "fra": "le la les des du et une dans pour avec",
-    "ita": "il di che la una per con del della nel",
-    "spa": "el la los de una por con del que en",
+    "en": "the of and to in that is with for this was on it as by at from their who which his her not but be are so had were every our they some while because although",
+    "deu": "der die das und den dem mit im nicht von zu des auf für ist ein eine einen einem eines an aus als auch es sich wird bei nach vor über unter weil dass wenn am zum zur aber",
+    "fra": "le la les des du et une dans pour avec de un que qui sur ne pas par au aux ce cette sa son ses est se plus mais comme il elle sans sous parce si avant chez",
+    "ita": "il di che la una per con del della nel lo gli le dello dei degli delle e in un uno su non da dal dalla al alla nella sul si è come ma più anche se perché",
+    "spa": "el la los de una por con del que en las y un para no se su sus al lo como más pero es sin sobre si ha porque aunque cuando fue entre este esta bajo",
 }
 
 
@@ -76,8 +76,9 @@ def detect_language(text: Column) -> Column:
 
 
 def in_language(source: Column, detected: Column) -> Column:
-    """True or false; null if either is unknown."""
-    return F.when(source.isNotNull() & detected.isNotNull(), source == detected)
+    """Whether an answer kept to English or to another language than English, as its source; null if either is unknown."""
+    known = (F.length(source) > 0) & (source != "—") & (F.length(detected) > 0)
+    return F.when(known, (source == "en") == (detected == "en"))
 
 
 def usage_tokens(*shapes: Column) -> Column:

@@ -17,9 +17,10 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,6 +142,55 @@ def get_run(name: str) -> Run:
     return RUNS[name]()
 
 
+@dataclass(frozen=True)
+class Step:
+    """A custom stage of a pipeline: ``run(rows, rank, world_size)`` over the rows of one partition, and its columns."""
+
+    name: str
+    columns: T.StructType
+    run: Callable[[Iterator[dict], int, int], Iterator[dict]]
+
+
+def run_step(df: DataFrame, step: Step) -> DataFrame:
+    """Runs a step on each partition; its rank is the partition's number. A partition may be run again, so steps must not keep state outside."""
+    world = df.rdd.getNumPartitions()
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        rows = (r for pdf in batches for r in pdf.to_dict("records"))
+        out = step.run(rows, TaskContext.get().partitionId() % world, world)
+        while some := list(islice(out, 1000)):
+            yield pd.DataFrame(some, columns=step.columns.names)
+
+    return df.mapInPandas(task, step.columns)
+
+
+def probe(df: DataFrame, key: str, run: Run, count: Callable[[str], int] = lambda s: len(s.split())) -> DataFrame:
+    """Per request: tokens in and out, seconds taken, and whether it succeeded; one request at a time in each task."""
+    schema = T.StructType([df.schema[key], *[T.StructField(c, T.LongType()) for c in ("input_tokens", "output_tokens")], T.StructField("seconds", T.DoubleType()), T.StructField("success", T.BooleanType())])
+
+    def one(row: dict) -> tuple:
+        prompt, began = run.build(row), time.perf_counter()
+        try:
+            raw, good = retry(run.call, prompt), True
+        except Exception:
+            raw, good = "", False
+        return row[key], count(prompt), count(raw), time.perf_counter() - began, good
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([one(r) for r in pdf.to_dict("records")], columns=schema.names)
+
+    return df.mapInPandas(task, schema)
+
+
+def cross_runs(spark: SparkSession, targets: list[str], others: list[str]) -> DataFrame:
+    """The runs of a cross iteration: each target with each counterpart, the runs of a target under one group id."""
+    rows = [(sha256(t.encode()).hexdigest()[:8], t, o) for t, o in cross_pairs(targets, others)]
+    return spark.createDataFrame(rows, "group_id string, target string, counterpart string")
+
+
 def cross_pairs(targets: list[str], others: list[str]) -> list[tuple[str, str]]:
     """Each target with each counterpart but itself."""
     return [(t, o) for t in targets for o in others if t != o]

@@ -29,11 +29,15 @@ def balanced(df: DataFrame, group: str, n: int, groups: int, seed: str, *keys: s
     return some.orderBy("_h", *keys).limit(n).drop("_h")
 
 
-def per_shard_reservoir(df: DataFrame, shard: str, n: int, shards: int, seed: str, *keys: str) -> DataFrame:
-    """A pool of ceil(n / shards) + 4 rows of each shard, then ``n`` of the pool."""
+def per_shard_reservoir(df: DataFrame, shard: str, n: int, shards: int, seed: str, *keys: str, strict: bool = False) -> DataFrame:
+    """A pool of ceil(n / shards) + 4 rows of each shard, then ``n`` of the pool; if ``strict``, a pool that is too small fails when it is read."""
     share = -(-n // shards) + 4
     pool = first_per_group(df.withColumn("_h", seeded(seed, F.col(shard), *map(F.col, keys))), shard, share, "_h", *keys)
-    return pool.orderBy(seeded(seed, *map(F.col, keys)), *keys).limit(n).drop("_h")
+    if not strict:
+        return pool.orderBy(seeded(seed, *map(F.col, keys)), *keys).limit(n).drop("_h")
+    enough = pool.agg(F.count("*").alias("_size")).select(F.assert_true(F.col("_size") >= n, F.concat(F.lit("the pool has only "), F.col("_size"), F.lit(f" rows of {n}"))).alias("_ok"))
+    checked = pool.join(F.broadcast(enough)).where("_ok is null")  # one row
+    return checked.orderBy(seeded(seed, *map(F.col, keys)), *keys).limit(n).drop("_h", "_ok")
 
 
 def round_robin(df: DataFrame, bucket: str, n: int, seed: str, *keys: str) -> DataFrame:

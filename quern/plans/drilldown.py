@@ -74,11 +74,20 @@ def floor_violations(spark, sf_dir):
 _DIMS = ("depth", "grounding", "relevance", "tone")
 
 
-@query(_with(" SELECT iteration, count(DISTINCT review_seq) AS n, " + ", ".join(f"coalesce(sum(CASE WHEN dim = '{d}' THEN score END)::bigint / nullif(count(CASE WHEN dim = '{d}' THEN 1 END), 0)::double, 0.0::double) AS {d}" for d in _DIMS) + " FROM leaf GROUP BY 1"))
+_DIM_MEANS = ", ".join(f"coalesce(sum(CASE WHEN dim = '{d}' THEN score END)::bigint / nullif(count(CASE WHEN dim = '{d}' THEN 1 END), 0)::double, 0.0::double) AS {d}" for d in _DIMS)
+_ZERO_MEANS = ", ".join(f"coalesce(d.{d}, 0.0::double) AS {d}" for d in _DIMS)
+
+
+@query(_with(f", t AS (SELECT iteration, count(*) AS n, 100.0::double * sum((coalesce(decision = 'accept', false))::int)::bigint / count(*)::double AS accept_pct, sum(cents)::double / (100.0::double * nullif(count(cents), 0)) AS mean_aggregate FROM jd GROUP BY 1), d AS (SELECT iteration, {_DIM_MEANS} FROM leaf GROUP BY 1) SELECT t.*, {_ZERO_MEANS} FROM t LEFT JOIN d USING (iteration)"))
 def trend(spark, sf_dir):
+    """Per iteration: reviews, share of accepts, mean, and the mean of each dimension (0 where it is missing)."""
+    j = judged(spark, sf_dir)
+    t = j.groupBy("iteration").agg(
+        F.count("*").alias("n"), (F.lit(100.0) * F.count_if(F.coalesce(F.col("decision") == "accept", F.lit(False))) / F.count("*").cast("double")).alias("accept_pct"), F.try_divide(F.sum("cents").cast("double"), F.lit(100.0) * F.count("cents")).alias("mean_aggregate")
+    )
     when = lambda d, e: F.when(F.col("dim") == d, e)
-    means = [F.coalesce(F.sum(when(d, F.col("score"))) / F.nullif(F.count(when(d, 1)), F.lit(0)).cast("double"), F.lit(0.0)).alias(d) for d in _DIMS]
-    return _leaves(spark, sf_dir).groupBy("iteration").agg(F.countDistinct("review_seq").alias("n"), *means)
+    means = [(F.sum(when(d, F.col("score"))) / F.nullif(F.count(when(d, 1)), F.lit(0)).cast("double")).alias(d) for d in _DIMS]
+    return t.join(_leaves(spark, sf_dir).groupBy("iteration").agg(*means), "iteration", "left").fillna(0.0, list(_DIMS))
 
 
 @query(_with(" SELECT coalesce(model, 'TOTAL') AS model, count(*) AS n, sum((decision = 'accept')::int)::bigint AS accepted FROM jd GROUP BY ROLLUP (model)"))
@@ -238,10 +247,18 @@ def review_pages(spark, sf_dir):
     return n.withColumn("page", F.dense_rank().over(Window.orderBy(F.desc("iteration"))))  # one row an iteration
 
 
+SECTIONS = ("iter_summary", "score_distribution", "pooled_distribution", "floor_violations", "flips", "diversity", "top_first_words", "run_summary")
+
+
 def diagnose(spark, sf_dir):
-    """The sections of the full report over all iterations, each a table of its own."""
-    sections = (iter_summary, score_distribution, pooled_distribution, floor_violations, flips, diversity, top_first_words, run_summary)
-    return {fn.__name__: fn(spark, sf_dir) for fn in sections}
+    """The sections of the full report over all iterations, each as a row of JSON per line: section and line."""
+    out = None
+    for name in SECTIONS:
+        df = query.queries[name](spark, sf_dir)
+        part = df.select(F.lit(name).alias("section"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns) if dict(df.dtypes)[c] in ("string", "int", "bigint")]).alias("line"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
+query.queries["diagnose"] = diagnose
 QUERIES, SQL = query.queries, query.sql

@@ -160,7 +160,7 @@ def reviewer_all(spark, sf_dir):
     return judged(spark, sf_dir).select("item_id", "iteration", "judge", "decision", "cents")
 
 
-@query(_with(", c AS (SELECT item_id, iteration, decision, count(*) AS n, min(review_seq) AS f FROM jd WHERE decision IS NOT NULL GROUP BY 1, 2, 3) SELECT item_id, iteration, decision, tot AS n_votes FROM (SELECT *, sum(n) OVER (PARTITION BY item_id, iteration)::bigint AS tot, row_number() OVER (PARTITION BY item_id, iteration ORDER BY n DESC, f) AS rn FROM c) WHERE rn = 1"))
+@query(_with(", c AS (SELECT item_id, iteration, decision, count(decision) AS n, min(review_seq) AS f FROM jd GROUP BY 1, 2, 3) SELECT item_id, iteration, coalesce(decision, 'accept') AS decision, tot AS n_votes FROM (SELECT *, sum(n) OVER (PARTITION BY item_id, iteration)::bigint AS tot, row_number() OVER (PARTITION BY item_id, iteration ORDER BY n DESC, f) AS rn FROM c) WHERE rn = 1"))
 def majority_decision(spark, sf_dir):
     return R.majority(judged(spark, sf_dir), ["item_id", "iteration"], "decision", "review_seq")
 
@@ -264,14 +264,29 @@ def judge_vs_human(spark, sf_dir):
     return c.groupBy("judge").agg(F.count("*").alias("n"), S.pearson(F.col("x"), F.col("y")).alias("pearson"), S.concordance(a, b).alias("concordance"), S.kappa(a, b).alias("kappa"))
 
 
-@query(f"WITH {CTES}, {_HUM.replace('jd.judge, jd', 'jd.gen_prompt AS judge, jd')} SELECT judge AS gen_prompt, count(*) AS n, sum(abs(x - y))::double / (100.0::double * nullif(count(x), 0)) AS mean_abs_diff, {_kappa_sql('a', 'b', 'tools')} AS kappa FROM c GROUP BY 1")
+_CAL = _HUM.replace("jd.judge, jd", "jd.gen_prompt, jd.model, jd")
+
+
+@query(f"WITH {CTES}, {_CAL} SELECT gen_prompt, model, count(*) AS n, {_CONC} AS agreement, {_pearson_sql('x', 'y')} AS pearson, sum(abs(x - y))::double / (100.0::double * nullif(count(x), 0)) AS mean_abs_diff, {_kappa_sql('a', 'b', 'tools')} AS kappa FROM c GROUP BY 1, 2")
 def calibration_by_prompt(spark, sf_dir):
+    """Each prompt and model against the reviewers' own verdict: agreement, kappa, r and the mean difference."""
     j = judged(spark, sf_dir)
     yes, no = (F.sum(F.when(F.col("decision").isNotNull(), (F.col("decision") == d).cast("int"))) for d in ("accept", "reject"))
     h = j.groupBy("item_id", "iteration").agg(F.count("*").alias("n_reviews"), F.round(F.avg("cents")).cast("bigint").alias("y"), F.when(yes >= no, "accept").otherwise("reject").alias("b")).where("n_reviews > 1")
-    c = j.select("gen_prompt", "item_id", "iteration", F.col("cents").alias("x"), F.col("decision").alias("a")).join(h, ["item_id", "iteration"])
+    c = j.select("gen_prompt", "model", "item_id", "iteration", F.col("cents").alias("x"), F.col("decision").alias("a")).join(h, ["item_id", "iteration"])
     diff = F.sum(F.abs(F.col("x") - F.col("y"))).cast("double") / (F.lit(100.0) * F.nullif(F.count("x"), F.lit(0)))
-    return c.groupBy("gen_prompt").agg(F.count("*").alias("n"), diff.alias("mean_abs_diff"), S.kappa(F.col("a"), F.col("b"), "tools").alias("kappa"))
+    a, b, x, y = map(F.col, "abxy")
+    return c.groupBy("gen_prompt", "model").agg(F.count("*").alias("n"), S.concordance(a, b).alias("agreement"), S.pearson(x, y).alias("pearson"), diff.alias("mean_abs_diff"), S.kappa(a, b, "tools").alias("kappa"))
+
+
+@query(_with(", m AS (SELECT item_id, iteration, voice, dim, sum(score)::bigint AS s, count(*) AS k FROM leaf GROUP BY 1, 2, 3, 4 HAVING count(*) > 1) SELECT l.gen_prompt, l.model, l.voice, l.dim, count(*) AS n, sum(round(abs(1000 * l.score - 1000 * m.s / m.k::double))::bigint)::bigint / (1000.0::double * count(*)) AS mean_abs_diff FROM leaf l JOIN m USING (item_id, iteration, voice, dim) GROUP BY 1, 2, 3, 4"))
+def calibration_dims(spark, sf_dir):
+    """The same per voice and dimension: how far single scores lie from the mean of all."""
+    leaves = _leaves(spark, sf_dir)
+    keys = ["item_id", "iteration", "voice", "dim"]
+    m = leaves.groupBy(*keys).agg(F.sum("score").alias("s"), F.count("*").alias("k")).where("k > 1")
+    milli = F.round(F.abs(1000 * F.col("score") - 1000 * F.col("s") / F.col("k").cast("double"))).cast("bigint")
+    return leaves.join(m, keys).groupBy("gen_prompt", "model", "voice", "dim").agg(F.count("*").alias("n"), (F.sum(milli) / (F.lit(1000.0) * F.count("*"))).alias("mean_abs_diff"))
 
 
 @query("SELECT model, gen_prompt, version FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY version DESC) AS rn FROM (SELECT DISTINCT model, gen_prompt, coalesce(try_cast(regexp_extract(gen_prompt, '_v(\\d+)', 1) AS INTEGER), -1) AS version FROM items)) WHERE rn <= 5")

@@ -116,10 +116,14 @@ def group_stats(spark, sf_dir):
 _LEN = "SELECT lang, length(text) AS l FROM documents WHERE text IS NOT NULL"
 
 
-@query(f"WITH d AS ({_LEN}), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY l) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d) SELECT lang, max(n) AS n, " + ", ".join(f"max(CASE WHEN i = least(n - 1, floor({p}::double * n)) THEN l END) AS {k}" for k, p in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95))) + " FROM r GROUP BY 1")
+@query(f"WITH d AS ({_LEN}), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY l) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d) SELECT lang, max(n) AS n, sum(l)::bigint / count(*)::double AS mean, max(l) AS longest, sum((l > 1000)::int)::bigint / count(*)::double AS over_1000, sum((l > 2000)::int)::bigint / count(*)::double AS over_2000, " + ", ".join(f"max(CASE WHEN i = least(n - 1, floor({p}::double * n)) THEN l END) AS {k}" for k, p in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95))) + " FROM r GROUP BY 1")
 def length_profile(spark, sf_dir):
+    """Lengths per language: number, mean, percentiles by index, largest, and the shares over two caps."""
     d = load(spark, sf_dir, "documents").where("text is not null").select("lang", F.length("text").cast("long").alias("l"))
-    return S.index_percentile(d, "l", {"p50": 0.5, "p90": 0.9, "p95": 0.95}, "lang")
+    n = F.count("*").cast("double")
+    sums = d.groupBy("lang").agg((F.sum("l") / n).alias("mean"), F.max("l").alias("longest"), *[(F.count_if(F.col("l") > cap) / n).alias(f"over_{cap}") for cap in (1000, 2000)])
+    p = S.index_percentile(d, "l", {"p50": 0.5, "p90": 0.9, "p95": 0.95}, "lang")
+    return p.join(F.broadcast(sums.withColumnRenamed("lang", "_lang")), F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang")  # one row a language
 
 
 @query(f"WITH d AS ({_LEN}) SELECT b::int AS bin, count(l) AS n, 100.0::double * count(l) / (SELECT count(*) FROM d)::double AS pct FROM range(0, 20) t(b) LEFT JOIN (SELECT least(floor(l / 200.0), 19) AS lb, l FROM d) x ON x.lb = b GROUP BY 1")
@@ -130,12 +134,23 @@ def length_histogram(spark, sf_dir):
     return all_bins.select("bin", "n", (F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()).cast("double")).alias("pct"))  # twenty rows
 
 
-@query("WITH d AS (SELECT source_shard, len(regexp_extract_all(text, '\\s*\\S+')) AS k, length(text) AS c FROM documents WHERE text IS NOT NULL) SELECT count(*) AS n, floor(quantile_cont(k, 0.25))::bigint AS p25, floor(median(k))::bigint AS p50, floor(quantile_cont(k, 0.75))::bigint AS p75, sum(c)::bigint / sum(k)::bigint::double AS chars_per_token, sum((k > 200)::int)::bigint / count(*)::double AS over_cap FROM d")
+_PCT = {f"p{p}": p / 100 for p in (1, 5, 25, 50, 75, 90, 95, 99)}
+_REPORT = "SELECT '{0}' AS measure, count(*) AS n, sum({0})::bigint / count(*)::double AS mean, sqrt(greatest(0.0::double, (count(*)::double * sum({0}::double * {0}) - sum({0})::double * sum({0})::double) / (count(*)::double * count(*)::double))) AS std, min({0})::bigint AS least, max({0})::bigint AS most, " + ", ".join(f"floor(quantile_cont({{0}}, {p}))::bigint AS {k}" for k, p in _PCT.items()) + ", sum(({0} > {1})::int)::bigint / count(*)::double AS over_cap, sum({0})::bigint / count(*)::double * 1000000 AS extrapolated, (SELECT sum(chars)::bigint / sum(tokens)::bigint::double FROM d) AS chars_per_token FROM d"
+
+
+@query("WITH d AS (SELECT len(regexp_extract_all(text, '\\s*\\S+'))::bigint AS tokens, length(text)::bigint AS chars FROM documents WHERE text IS NOT NULL) " + _REPORT.format("tokens", 200) + " UNION ALL " + _REPORT.format("chars", 2000))
 def token_report(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").where("text is not null").select(P.token_count(F.col("text")).alias("k"), F.length("text").alias("c"))
-    p = F.percentile("k", F.array(*map(F.lit, (0.25, 0.5, 0.75))))
-    out = d.agg(F.count("*").alias("n"), p.alias("p"), F.sum("c").alias("sc"), F.sum("k").alias("sk"), F.count_if(F.col("k") > 200).alias("over"))
-    return out.select("n", *[F.floor(F.col("p")[i]).alias(name) for i, name in enumerate(("p25", "p50", "p75"))], (F.col("sc") / F.col("sk").cast("double")).alias("chars_per_token"), (F.col("over") / F.col("n").cast("double")).alias("over_cap"))
+    """Lengths in tokens and in characters: mean, deviation, percentiles cut to whole numbers, share over a cap, and the total of a million documents."""
+    d = load(spark, sf_dir, "documents").where("text is not null").select(P.token_count(F.col("text")).cast("long").alias("tokens"), F.length("text").cast("long").alias("chars"))
+    both = d.select(F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(cap).alias("cap"), F.col(m).alias("v")) for m, cap in (("tokens", 200), ("chars", 2000))])).alias("r")).select("r.*")
+    v, n = F.col("v").cast("double"), F.count("*").cast("double")
+    sums = both.groupBy("measure").agg(
+        F.count("*").alias("n"), (F.sum("v") / n).alias("mean"), F.sqrt(F.greatest(F.lit(0.0), (n * F.sum(v * v) - F.sum("v").cast("double") * F.sum("v").cast("double")) / (n * n))).alias("std"),
+        F.min("v").alias("least"), F.max("v").alias("most"), (F.count_if(F.col("v") > F.col("cap")) / n).alias("over_cap"), (F.sum("v") / n * 1000000).alias("extrapolated"),
+    )
+    ratio = d.agg((F.sum("chars") / F.sum("tokens").cast("double")).alias("chars_per_token"))
+    p = S.linear_percentiles(both, "v", _PCT, "measure").select("measure", *[F.floor(k).alias(k) for k in _PCT])
+    return sums.join(F.broadcast(p), "measure").join(F.broadcast(ratio))  # two rows, and one
 
 
 # -- throughput
@@ -143,9 +158,18 @@ def token_report(spark, sf_dir):
 _REQ = "r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM (SELECT event_id, ts, event_type, round(value * 100)::bigint AS v FROM events))"
 
 
-@query(f"WITH {_REQ} SELECT event_type, count(*) AS n, sum(CASE WHEN i >= 5 AND i < n - 5 THEN v END)::bigint / count(CASE WHEN i >= 5 AND i < n - 5 THEN 1 END)::double AS mean_v, median(CASE WHEN i >= 5 AND i < n - 5 THEN v END) AS median_v, quantile_cont(CASE WHEN i >= 5 AND i < n - 5 THEN v END, 0.25) AS p25, quantile_cont(CASE WHEN i >= 5 AND i < n - 5 THEN v END, 0.75) AS p75, count(*) / (epoch_us(max(ts)) - epoch_us(min(ts)))::double * 1000000 AS per_second FROM r GROUP BY 1")
+_MID = "CASE WHEN i >= 5 AND i < n - 5 THEN v END"
+#: Documents and machines that the rates are carried on to.
+TOTAL, GPUS = 100_000_000, 4
+
+
+@query(
+    f"""WITH {_REQ}, t AS (SELECT event_type, count(*) AS n, sum({_MID})::bigint / count({_MID})::double AS mean_v, median({_MID})::double AS median_v, quantile_cont({_MID}, 0.25)::double AS p25, quantile_cont({_MID}, 0.75)::double AS p75,
+      count(*) / (epoch_us(max(ts)) - epoch_us(min(ts)))::double * 1000000 AS per_second FROM r GROUP BY 1)
+    SELECT *, {TOTAL} / per_second AS wall_seconds, {TOTAL} / per_second * {GPUS} / 3600 AS gpu_hours, least({TOTAL} / per_second * {GPUS} / 3600 * (p25 / mean_v), {TOTAL} / per_second * {GPUS} / 3600 * (p75 / mean_v)) AS gpu_hours_least, greatest({TOTAL} / per_second * {GPUS} / 3600 * (p25 / mean_v), {TOTAL} / per_second * {GPUS} / 3600 * (p75 / mean_v)) AS gpu_hours_most FROM t"""
+)
 def throughput_stats(spark, sf_dir):
-    """Rates from all rows; figures of values without the first and last five of each kind."""
+    """Rates from all rows; figures of values without the first and last five of each kind; time and machine hours carried on to ``TOTAL`` documents."""
     e = load(spark, sf_dir, "events").select("event_id", "ts", "event_type", F.round(F.col("value") * 100).cast("bigint").alias("v"))
     # only the ends of each kind are ranked, and Spark keeps five rows a task of these
     ends = [first_per_group(e.select("event_id", "ts", "event_type"), "event_type", 5, *o) for o in (("ts", "event_id"), (F.desc("ts"), F.desc("event_id")))]
@@ -153,10 +177,12 @@ def throughput_stats(spark, sf_dir):
     r = e.join(F.broadcast(edge), "event_id", "left")  # ten rows a kind of event
     v = F.when(F.col("_edge").isNull(), F.col("v"))
     us = lambda c: F.unix_micros(c.cast("timestamp"))
-    return r.groupBy("event_type").agg(
-        F.count("*").alias("n"), F.try_divide(F.sum(v).cast("double"), F.count(v)).alias("mean_v"), F.median(v).alias("median_v"), F.percentile(v, F.lit(0.25)).alias("p25"), F.percentile(v, F.lit(0.75)).alias("p75"),
-        (F.count("*") / (us(F.max("ts")) - us(F.min("ts"))).cast("double") * 1000000).alias("per_second"),
-    )
+    rates = r.groupBy("event_type").agg(F.count("*").alias("n"), F.try_divide(F.sum(v).cast("double"), F.count(v)).alias("mean_v"), (F.count("*") / (us(F.max("ts")) - us(F.min("ts"))).cast("double") * 1000000).alias("per_second"))
+    p = S.linear_percentiles(r.where("_edge is null"), "v", {"median_v": 0.5, "p25": 0.25, "p75": 0.75}, "event_type")
+    hours = F.lit(TOTAL) / F.col("per_second") * GPUS / 3600
+    low, high = (hours * (F.col(q) / F.col("mean_v")) for q in ("p25", "p75"))
+    out = rates.join(F.broadcast(p), "event_type", "left")  # one row a kind
+    return out.withColumns({"wall_seconds": F.lit(TOTAL) / F.col("per_second"), "gpu_hours": hours, "gpu_hours_least": F.least(low, high), "gpu_hours_most": F.greatest(low, high)})
 
 
 @query(_with("SELECT model, gen_prompt, total, total / first_value(total) OVER (PARTITION BY model ORDER BY total, gen_prompt)::double - 1 AS over_best FROM (SELECT model, gen_prompt, sum(latency_ms)::bigint AS total FROM it GROUP BY 1, 2)"))
@@ -207,19 +233,28 @@ def complete_groups(spark, sf_dir):
 # -- model stages with the stub
 
 
-@query()
+_STUB = """g AS (SELECT doc_id, text, ('0x' || left(sha256('Reflect.' || chr(10) || chr(10) || text), 8))::BIGINT AS h FROM documents WHERE text IS NOT NULL),
+ gen AS (SELECT doc_id, h % 17 = 0 AS failed, length('Reflect.' || text) + 2 || ' characters' AS analysis, 'I notice this [' || (1 + h % 6) || '.' || (1 + h % 4) || '].' AS answer FROM g)"""
+
+
+@query(f"WITH {_STUB} SELECT doc_id, CASE WHEN NOT failed THEN analysis END AS analysis, CASE WHEN NOT failed THEN answer END AS reflection_1p, CASE WHEN failed THEN 'parse' END AS category, CASE WHEN failed THEN 'no object' END AS reason FROM gen")
 def annotate_stub(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
     return A.annotate(docs, "doc_id", A.get_run("reflections"))
 
 
-@query()
+@query(
+    f"""WITH {_STUB}, j AS (SELECT doc_id, ('0x' || left(sha256('Judge.' || chr(10) || chr(10) || answer), 8))::BIGINT AS h FROM gen WHERE NOT failed),
+    s AS (SELECT doc_id, {", ".join(f"1 + (h >> {4 * k}) % 5 AS {d}" for k, d in enumerate(("depth", "grounding", "relevance", "tone")))} FROM j)
+    SELECT doc_id, depth, grounding, relevance, tone, (depth + grounding + relevance + tone) / 4.0::double AS aggregate, CASE WHEN least(depth, grounding, relevance, tone) <= 2 OR (depth + grounding + relevance + tone) / 4.0 < 4 THEN 'reject' ELSE 'accept' END AS decision FROM s"""
+)
 def judge_stub(spark, sf_dir):
     good, _ = A.split_failures(annotate_stub(spark, sf_dir))
-    return A.annotate(good.select("doc_id", "reflection_1p"), "doc_id", A.get_run("judgments"))
+    got = A.annotate(good.select("doc_id", "reflection_1p"), "doc_id", A.get_run("judgments"))
+    return got.select("doc_id", *[F.col("scores")[d].alias(d) for d in ("depth", "grounding", "relevance", "tone")], "aggregate", "decision")
 
 
-@query()
+@query(f"WITH {_STUB} SELECT 'parse' AS category, 'no object' AS reason, count(*) AS n FROM gen WHERE failed HAVING count(*) > 0")
 def stub_failures(spark, sf_dir):
     return A.split_failures(annotate_stub(spark, sf_dir))[1].groupBy("category", "reason").agg(F.count("*").alias("n"))
 

@@ -209,18 +209,25 @@ def prefixes(spark, sf_dir):
     return v.select("item_id", "iteration", F.substring("text", F.lit(1), F.col("reflection_point")).alias("prefix"), F.substring("text", 1, 300).alias("brief"), (F.length("text") > 5000).alias("capped"), F.substring("text", 1, 5000).alias("shown"))
 
 
-@query()
+_CLEAN = "lower(regexp_replace(text, '\\[[^\\]]*\\]|`[^`]*`', ' ', 'g'))"
+_HITS = ", ".join(f"len(list_intersect(ws, {s.split()!r})) AS n{k}" for k, s in enumerate(X.STOP_WORDS.values()))
+_MOST = f"greatest({', '.join(f'n{k}' for k in range(len(X.STOP_WORDS)))})"
+_DETECTED = f"""CASE WHEN length(trim(c)) < 10 THEN NULL WHEN regexp_matches(c, '[぀-ヿ]') THEN 'jpn' WHEN regexp_matches(c, '[一-鿿]') THEN 'cmn' WHEN regexp_matches(c, '[Ѐ-ӿ]') THEN 'rus' WHEN {_MOST} = 0 THEN NULL {" ".join(f"WHEN n{k} = {_MOST} THEN '{x}'" for k, x in enumerate(X.STOP_WORDS))} END"""
+_LANGUAGE = f"(SELECT doc_id, lang, {_DETECTED} AS detected FROM (SELECT doc_id, lang, c, {_HITS} FROM (SELECT doc_id, lang, {_CLEAN} AS c, list_distinct(regexp_extract_all({_CLEAN}, '\\p{{L}}+')) AS ws FROM documents WHERE text IS NOT NULL)))"
+_ANSWERED = "CASE WHEN lang <> '' AND lang <> '—' AND detected IS NOT NULL THEN (lang = 'en') = (detected = 'en') END"
+
+
+@query(f"SELECT doc_id, lang, detected FROM {_LANGUAGE}")
 def language_detect(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").where("text is not null")
-    found = X.detect_language(F.col("text"))
-    return docs.select("doc_id", "lang", found.alias("detected")).withColumn("in_language", X.in_language(F.col("lang"), F.col("detected")))
+    return docs.select("doc_id", "lang", X.detect_language(F.col("text")).alias("detected"))
 
 
-@query("SELECT doc_id, CASE WHEN lang IS NOT NULL AND CASE WHEN regexp_matches(text, '[Ѐ-ӿ]') THEN 'rus' END IS NOT NULL THEN lang = 'rus' END AS in_language FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {_ANSWERED} AS in_language FROM {_LANGUAGE}")
 def in_language(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").where("text is not null")
-    detected = F.when(F.col("text").rlike("[Ѐ-ӿ]"), "rus")
-    return docs.select("doc_id", X.in_language(F.col("lang"), detected).alias("in_language"))
+    """Whether a text is English where its label says so, and not where it does not."""
+    docs = load(spark, sf_dir, "documents").where("text is not null").select("doc_id", "lang", X.detect_language(F.col("text")).alias("detected"))
+    return docs.select("doc_id", X.in_language(F.col("lang"), F.col("detected")).alias("in_language"))
 
 
 QUERIES, SQL = query.queries, query.sql

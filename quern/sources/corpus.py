@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quern.sources.fs import Folder
+
 
 @dataclass(frozen=True)
 class Corpus:
@@ -20,17 +21,17 @@ class Corpus:
     columns: tuple[str, ...] = ("text", "id", "safety_score", "safety_probs", "metadata.language")
 
 
-def list_shards(corpus: Corpus, languages: list[str] | None = None, cap: int | None = None) -> list[str]:
-    """Sorted parquet shards of a local corpus, of the wanted languages only, ``cap`` at most (smoke runs)."""
-    root = Path(corpus.root)
+def list_shards(spark: SparkSession, corpus: Corpus, languages: list[str] | None = None, cap: int | None = None) -> list[str]:
+    """Sorted parquet shards of a corpus on any file system, of the wanted languages only, ``cap`` at most (smoke runs)."""
+    folder, root = Folder(spark), corpus.root.rstrip("/")
     if corpus.layout == "flat":
-        found = sorted(str(p) for p in root.glob("*.parquet"))
+        found = folder.glob(f"{root}/*.parquet")
     else:
         unknown = [lang for lang in languages or [] if lang not in corpus.languages]
         if unknown:
             raise ValueError(f"no directory for {unknown} in corpus {corpus.name}")
         wanted = languages if languages is not None else sorted(corpus.languages)
-        found = sorted(str(p) for lang in wanted for p in (root / corpus.languages[lang]).glob("*.parquet"))
+        found = sorted(p for lang in wanted for p in folder.glob(f"{root}/{corpus.languages[lang]}/*.parquet"))
     return found[:cap] if cap is not None else found
 
 
@@ -45,19 +46,44 @@ def assert_projection(df: DataFrame, columns: tuple[str, ...]) -> None:
             kind = kind[part].dataType
 
 
-def read_corpus(spark: SparkSession, corpus: Corpus, languages: list[str] | None = None, cap: int | None = None) -> DataFrame:
-    """text, id, safety_score, safety_probs, language, source_shard (relative to the root); only these are decoded."""
-    shards = list_shards(corpus, languages, cap)
+def read_corpus(spark: SparkSession, corpus: Corpus, languages: list[str] | None = None, cap: int | None = None, leftover: bool = False) -> DataFrame:
+    """text, id, safety_score, safety_probs, language, source_shard (relative to the root); only these are decoded.
+
+    With ``leftover`` all other columns are kept as well, as one JSON object in ``metadata``.
+    """
+    shards = list_shards(spark, corpus, languages, cap)
     if not shards:
         raise FileNotFoundError(f"corpus {corpus.name} has no shards under {corpus.root}")
     df = spark.read.parquet(*shards)
     assert_projection(df, corpus.columns)
-    base = Path(corpus.root).resolve().as_uri().replace("file:///", "file:/")
-    rel = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "file:/"), "^" + base.rstrip("/") + "/", "")
-    out = df.select(*[F.col(c).alias(c.rpartition(".")[2]) for c in corpus.columns], rel.alias("source_shard"), F.col("_metadata.row_index").alias("row_index"))
+    base = Folder(spark).qualified(corpus.root).rstrip("/")
+    path = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "file:/")
+    rel = F.substring(path, len(base) + 2, 1 << 20)
+    rest = [c for c in df.columns if c not in {x.split(".")[0] for x in corpus.columns}]
+    more = [F.to_json(F.struct(*rest)).alias("metadata")] if leftover and rest else []
+    out = df.select(*[F.col(c).alias(c.rpartition(".")[2]) for c in corpus.columns], *more, rel.alias("source_shard"), F.col("_metadata.row_index").alias("row_index"))
     return out.withColumn("text", F.coalesce("text", F.lit("")))
 
 
+def file_rows(spark: SparkSession, *paths: str) -> DataFrame:
+    """Rows of each file; no column is decoded."""
+    path = F.col("_metadata.file_path")
+    return spark.read.parquet(*paths).groupBy(path.alias("file_path")).agg(F.count("*").alias("n_rows"))
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """file_name and SHA-256 of each whole file (prompts and the like, whose drift is looked for)."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.sha2("content", 256).alias("sha256"))
+
+
+def buffer_shuffle(df: DataFrame, position: str, size: int, seed: str) -> DataFrame:
+    """An approximate shuffle: each row leaves within ``size`` places of its own, as from a buffer of so many rows; ``place`` sorts it."""
+    from quern.functions.ids import uniform
+
+    return df.withColumn("place", F.col(position) + F.floor(uniform(seed, F.col(position)) * size))
+
+
 def stride(shards: DataFrame, n: int, name: str = "source_shard") -> DataFrame:
     """The task of each distinct shard: its place in the sorted list modulo ``n``."""
     place = F.row_number().over(Window.orderBy(name)) - 1  # one row a shard
@@ -89,7 +115,6 @@ def list_files(names: list[str], prefix: str = "", ending: str = ".parquet") ->
 
 def cached(spark: SparkSession, path: str, build) -> DataFrame:
     """The table at ``path``, built and written once if it is not there."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if not Folder(spark).exists(path):
         build().write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -46,3 +46,43 @@ def scrape_logs(spark: SparkSession, path: str, patterns: dict[str, str]) -> Dat
     cols = {k: F.nullif(F.regexp_extract("value", p, 1), F.lit("")) for k, p in patterns.items()}
     hit = F.coalesce(*cols.values()).isNotNull()
     return lines.where(hit).select("file_name", *[c.alias(k) for k, c in cols.items()])
+
+
+#: Where a benchmark's result file keeps each figure, and what stands in for it.
+RESULT_FIELDS = (
+    ("n_measured", "stats.n_measured", "0"), ("n_failed", "stats.n_failed", "0"), ("samples_per_sec", "stats.throughput.samples_per_sec", "0"), ("output_tok_per_sec", "stats.throughput.output_tok_per_sec", "0"),
+    ("avg_input_tok", "stats.input_tokens.mean", "0"), ("avg_output_tok", "stats.output_tokens.mean", "0"), ("gpu_hours", "stats.extrapolation.gpu_hours", "0"), ("wall_time_s", "stats.wall_time_s", "0"),
+)
+_RESULT = """model_alias string, mode string, stats struct<error: string, n_measured: bigint, n_failed: bigint, wall_time_s: double, throughput: struct<samples_per_sec: double, output_tok_per_sec: double>,
+ input_tokens: struct<mean: double>, output_tokens: struct<mean: double>, extrapolation: struct<gpu_hours: double>>"""
+
+
+def read_results(spark: SparkSession, pattern: str) -> DataFrame:
+    """Benchmark result files, one object each, as flat figures; those that hold an error are left out."""
+    df = spark.read.schema(_RESULT).option("multiLine", True).json(pattern).where("stats.error is null")
+    flat = [F.coalesce(F.col(path), F.lit(default).cast("double")).alias(name) for name, path, default in RESULT_FIELDS]
+    return df.select(F.col("_metadata.file_name").alias("file_name"), F.coalesce("model_alias", F.lit("?")).alias("model"), F.coalesce("mode", F.lit("?")).alias("mode"), *flat)
+
+
+#: What log lines begin with.
+LOG_TEXT, LOG_OTHER, LOG_HEADING = "[text] ", r"^\[(tool|ok|FAIL|done)\]", "## Final Summary"
+
+
+def log_summary(log):
+    """The closing summary of a run's log: what its text blocks hold from the heading on; null without one."""
+    lines = F.split(log, "\n")
+    # a block of text goes on until a line of another kind
+    kept = F.aggregate(
+        lines,
+        F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("inside")),
+        lambda a, x: F.when(F.startswith(x, F.lit(LOG_TEXT)), F.struct(F.array_append(a["out"], F.substring(x, len(LOG_TEXT) + 1, 1 << 20)).alias("out"), F.lit(True).alias("inside")))
+        .when(x.rlike(LOG_OTHER), F.struct(a["out"].alias("out"), F.lit(False).alias("inside")))
+        .otherwise(F.struct(F.when(a["inside"], F.array_append(a["out"], x)).otherwise(a["out"]).alias("out"), a["inside"].alias("inside"))),
+    )["out"]
+    text = F.array_join(kept, "\n")
+    return F.when(F.contains(text, F.lit(LOG_HEADING)), F.trim(F.substring(text, F.locate(LOG_HEADING, text), F.lit(1 << 20))))
+
+
+def context_length(flags):
+    """The number after ``--context-length``; null where it is absent."""
+    return F.regexp_extract(F.coalesce(flags, F.lit("")), r"--context-length(?:[=\s]+)(\d+)", 1).try_cast("int")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
-from pathlib import Path
+import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.latest import keep_last
+from quern.sources.fs import Folder
 
 
 class Table:
@@ -31,10 +32,35 @@ class Table:
         return keep_last(rows, self.keys, F.col("seq")).where("not tombstone").drop("tombstone")
 
     def next_sequence(self) -> int:
-        """One more than the largest sequence so far."""
-        if not Path(self.path.removeprefix("file://")).exists():
-            return 1
-        return int(self.spark.read.parquet(self.path).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]) + 1
+        """One more than the largest sequence so far, taken by creating its file: of several that ask, each gets its own."""
+        folder = Folder(self.spark)
+        taken = [int(p.rpartition("/")[2]) for p, _, _ in folder.list(f"{self.path}_sequence") if p.rpartition("/")[2].isdigit()]
+        last = max(taken, default=0)
+        if folder.exists(self.path):
+            last = max(last, int(self.spark.read.parquet(self.path).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]))
+        while not folder.create(f"{self.path}_sequence/{last + 1}"):
+            last += 1
+        return last + 1
+
+
+class Cached:
+    """A table read once per version of its files: a read after any write, own or other, sees it."""
+
+    def __init__(self, table: Table) -> None:
+        self.table, self._version, self._rows = table, None, None
+
+    def read(self) -> DataFrame:
+        version = Folder(self.table.spark).list(self.table.path)
+        if version != self._version:
+            self.close()
+            # cached by executors that may be lost; the plan below rebuilds what goes with them
+            self._rows, self._version = self.table.read().cache(), version
+        return self._rows
+
+    def close(self) -> None:
+        if self._rows is not None:
+            self._rows.unpersist()
+            self._rows = None
 
 
 def migrate(old: DataFrame, new: DataFrame, **backfill: Column) -> DataFrame:
@@ -45,30 +71,47 @@ def migrate(old: DataFrame, new: DataFrame, **backfill: Column) -> DataFrame:
     return out
 
 
-def guard(path: str, current: dict, guarded: set[str]) -> None:
+def guard(spark: SparkSession, path: str, current: dict, guarded: set[str]) -> None:
     """Writes a run's settings, or refuses to resume with a guarded one changed; new keys are allowed."""
-    p = Path(path)
-    if p.exists():
-        old = json.loads(p.read_text())
+    folder = Folder(spark)
+    if folder.exists(path):
+        old = json.loads(folder.read_text(path))
         changed = sorted(k for k in guarded if k in old and old[k] != current.get(k))
         if changed:
             raise ValueError(f"settings changed since the run began: {changed}")
         current = old | current
-    write_atomic(path, json.dumps(current, indent=1, sort_keys=True))
-
-
-def write_atomic(path: str, text: str) -> None:
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    tmp = p.with_suffix(p.suffix + ".tmp")
-    tmp.write_text(text)
-    os.replace(tmp, p)
+    folder.write_text(path, json.dumps(current, indent=1, sort_keys=True))
 
 
-def heartbeat(path: str, **values: object) -> None:
+def heartbeat(spark: SparkSession, path: str, **values: object) -> None:
     """Merges values into a metadata file."""
-    p = Path(path)
-    write_atomic(path, json.dumps((json.loads(p.read_text()) if p.exists() else {}) | values))
+    folder = Folder(spark)
+    folder.write_text(path, json.dumps((json.loads(folder.read_text(path)) if folder.exists(path) else {}) | values))
+
+
+class Backup:
+    """Copies what is new or changed in a folder, once it has been still for ``idle`` seconds and ``least`` after the last copy."""
+
+    def __init__(self, spark: SparkSession, source: str, target: str, idle: float = 600.0, least: float = 60.0, clock: Callable[[], float] = time.time) -> None:
+        self.folder, self.source, self.target = Folder(spark), source, target
+        self.idle, self.least, self.clock = idle, least, clock
+        self._copied: dict[str, tuple[int, int]] = {}
+        self._last = float("-inf")
+
+    def run(self, critical: bool = False) -> int:
+        """Files copied; a critical change does not wait for the folder to be still."""
+        files = self.folder.list(self.source)
+        changed = [(p, size, at) for p, size, at in files if self._copied.get(p) != (size, at)]
+        now = self.clock()
+        still = now - max((at / 1000 for _, _, at in changed), default=0) >= self.idle
+        if not changed or now - self._last < self.least or not (still or critical):
+            return 0
+        base = self.folder.qualified(self.source).rstrip("/")
+        for p, size, at in changed:
+            self.folder.copy(p, self.target.rstrip("/") + p.removeprefix(base))
+            self._copied[p] = (size, at)
+        self._last = now
+        return len(changed)
 
 
 def export_dataset(df: DataFrame, path: str, key: str, *order: Column, partition: str | None = None, rows_per_file: int = 1_000_000) -> None:

@@ -113,8 +113,8 @@ def test_text_checks(spark):
     assert one(spark, "<think>x</think> y", "string", X.after_thinking) == "y" and one(spark, "<think>x", "string", X.after_thinking) is None and one(spark, "z", "string", X.after_thinking) == "z"
     assert one(spark, "One two. Last words here. ", "string", X.closing) == "Last words here"
     assert [one(spark, t, "string", X.detect_language) for t in ("the cat of the house", "der Hund und die Katze", "это кошка и дом", "これは猫です。そうです", "short", None)] == ["en", "deu", "rus", "jpn", None, None]
-    row = spark.createDataFrame([("en", "en"), ("en", "deu"), (None, "en")], "a string, b string").select(X.in_language(F.col("a"), F.col("b")).alias("y")).collect()
-    assert [r.y for r in row] == [True, False, None]
+    row = spark.createDataFrame([("en", "en"), ("en", "deu"), (None, "en"), ("fra", "spa"), ("fra", "en"), ("—", "en"), ("", "en"), ("fra", None)], "a string, b string").select(X.in_language(F.col("a"), F.col("b")).alias("y")).collect()
+    assert [r.y for r in row] == [True, False, None, True, False, None, None, None]
 
 
 GOOD = {"analysis": "a", "reflection_1p": "b"}
@@ -182,7 +182,7 @@ def test_rubric(spark, scores, decision, mean):
 
 def test_majority_first_seen_wins_ties(spark):
     v = spark.createDataFrame([("a", "x", 3), ("a", "y", 1), ("b", "x", 1), ("b", "x", 2), ("b", "y", 0), ("c", None, 0)], "k string, d string, o long")
-    assert {r.k: r.d for r in R.majority(v, ["k"], "d", "o").collect()} == {"a": "y", "b": "x"}
+    assert {r.k: r.d for r in R.majority(v, ["k"], "d", "o").collect()} == {"a": "y", "b": "x", "c": "accept"}
 
 
 def test_agreement_statistics_equal_brute_force(spark):
@@ -227,3 +227,28 @@ def test_jaccard_and_total(spark):
     assert [round(r.j, 3) for r in df.select(T.jaccard(F.col("a"), F.col("b")).alias("j")).collect()] == [1.0, 0.0, 0.333]
     t = T.per_group_total(spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "g string, v int"), "g", "TOTAL", F.sum("v").alias("s"))
     assert {r.g: r.s for r in t.collect()} == {"x": 3, "y": 3, "TOTAL": 6}
+
+
+def test_majority_without_a_vote_accepts(spark):
+    from quern.functions.rubric import majority
+
+    rows = [("a", "reject", 1), ("a", "accept", 2), ("a", "reject", 3), ("b", None, 1), ("c", "accept", 2), ("c", "reject", 1), ("d", None, 1), ("d", "reject", 2)]
+    got = majority(spark.createDataFrame(rows, "k string, v string, o int"), ["k"], "v", "o").collect()
+    assert {r.k: (r.v, r.n_votes) for r in got} == {"a": ("reject", 3), "b": ("accept", 0), "c": ("reject", 2), "d": ("reject", 1)}
+
+
+def test_headings_of_third_level_alone_name_sections(spark):
+    from quern.functions.citations import spec_ids
+    from quern.functions.rendering import spec_sections
+
+    text = "## 1.1 Chapter\n### 1.2 Truth\nbody\n#### 1.3 Deeper\nmore"
+    assert spark.range(1).select(spec_ids(F.lit(text)).alias("x")).first().x == ["1.2"]
+    assert spec_sections(text) == [("1.2", "Truth", "body")]
+
+
+def test_log_sections_and_flags(spark):
+    from quern.sources.jsonl import context_length, log_summary
+
+    log = "[text] a\n[tool] b\nlost\n[text] ## Final Summary\nkept\n[done] x\nlost too"
+    row = spark.createDataFrame([(log, "--x --context-length=4096"), ("no text", "--context-length 8"), (None, None)], "l string, f string").select(log_summary(F.col("l")).alias("s"), context_length(F.col("f")).alias("n")).collect()
+    assert [tuple(r) for r in row] == [("## Final Summary\nkept", 4096), (None, 8), (None, None)]

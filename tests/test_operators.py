@@ -105,7 +105,7 @@ def test_corpus_scan(spark, tmp_path):
     assert len(rows) == 18 and rows[0].text == "" and rows[1].source_shard == "000_00000.parquet" and rows[1].language == "en"
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "embeddings" not in plan  # nested pruning
-    assert len(C.list_shards(flat, cap=2)) == 2
+    assert len(C.list_shards(spark, flat, cap=2)) == 2
     with pytest.raises(ValueError, match="missing"):
         C.assert_projection(spark.read.parquet(str(tmp_path)), ("text", "metadata.missing"))
     assert sorted(r.task for r in C.stride(df.select("source_shard"), 2).collect()) == [0, 0, 1]
@@ -118,10 +118,10 @@ def test_corpus_scan(spark, tmp_path):
 def test_language_directories(spark, tmp_path):
     _shards(spark, tmp_path, ["deu_Latn/0", "fra_Latn/0", "spa_Latn/0"])
     per = C.Corpus("multi", str(tmp_path), "per_language_dir", {"deu": "deu_Latn", "fra": "fra_Latn"})
-    assert [p.rsplit("/", 2)[1] for p in C.list_shards(per, ["deu"])] == ["deu_Latn"]
+    assert [p.rsplit("/", 2)[1] for p in C.list_shards(spark, per, ["deu"])] == ["deu_Latn"]
     assert C.read_corpus(spark, per, ["fra"]).select("source_shard").distinct().collect()[0][0] == "fra_Latn/0.parquet"
     with pytest.raises(ValueError):
-        C.list_shards(per, ["ita"])
+        C.list_shards(spark, per, ["ita"])
 
 
 def test_jsonl(spark, tmp_path):
@@ -153,11 +153,11 @@ def test_state(spark, tmp_path):
     old, new = spark.createDataFrame([("a",)], "k string"), spark.createDataFrame([("b", "x")], "k string, mode string")
     assert {r.k: r.mode for r in ST.migrate(old, new, mode=F.lit("m")).collect()} == {"a": "m", "b": "x"}
     p = str(tmp_path / "run.json")
-    ST.guard(p, {"a": 1, "b": 2}, {"a"})
-    ST.guard(p, {"a": 1, "b": 3, "c": 4}, {"a"})
+    ST.guard(spark, p, {"a": 1, "b": 2}, {"a"})
+    ST.guard(spark, p, {"a": 1, "b": 3, "c": 4}, {"a"})
     with pytest.raises(ValueError, match="a"):
-        ST.guard(p, {"a": 2}, {"a"})
-    ST.heartbeat(p, beat=1)
+        ST.guard(spark, p, {"a": 2}, {"a"})
+    ST.heartbeat(spark, p, beat=1)
     assert json.loads(open(p).read())["beat"] == 1
 
 
@@ -210,3 +210,60 @@ def test_bucketed_rank_is_row_number(spark):
     want = df.withColumn("place", F.row_number().over(Window.partitionBy("g").orderBy("v", "n")).cast("bigint"))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     assert bucketed_rank(df.limit(0), ["g"], F.col("v"), ["v"]).collect() == []
+
+
+def test_a_pool_that_is_too_small_fails(spark):
+    from quern.operators.sampling import per_shard_reservoir
+
+    df = spark.range(30).selectExpr("id", "id % 3 as shard")
+    assert per_shard_reservoir(df, "shard", 12, 3, "s", "id", strict=True).count() == 12
+    with pytest.raises(Exception, match="24 rows of 100"):
+        per_shard_reservoir(df, "shard", 100, 25, "s", "id", strict=True).collect()
+    assert per_shard_reservoir(df, "shard", 100, 25, "s", "id").count() == 24
+
+
+def test_sequences_are_exclusive(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    table = ST.Table(spark, str(tmp_path / "t"), ["k"])
+    table.append(spark.createDataFrame([("a",)], "k string"), 7)
+    with ThreadPoolExecutor(4) as pool:
+        got = sorted(pool.map(lambda _: ST.Table(spark, str(tmp_path / "t"), ["k"]).next_sequence(), range(8)))
+    assert got == list(range(8, 16))
+
+
+def test_backup_waits_until_a_folder_is_still(spark, tmp_path):
+    source, target, now = tmp_path / "a", tmp_path / "b", [0.0]
+    (source / "x").mkdir(parents=True)
+    (source / "x" / "1.txt").write_text("one")
+    now[0] = (source / "x" / "1.txt").stat().st_mtime + 5
+    backup = ST.Backup(spark, str(source), str(target), clock=lambda: now[0])
+    assert backup.run() == 0  # changed five seconds ago
+    assert backup.run(critical=True) == 1 and (target / "x" / "1.txt").read_text() == "one"
+    now[0] += 1000
+    assert backup.run() == 0  # nothing new
+    (source / "x" / "1.txt").write_text("other")
+    now[0] += 1000
+    assert backup.run() == 1 and (target / "x" / "1.txt").read_text() == "other"
+
+
+def test_linear_percentiles_equal_numpy(spark):
+    import numpy as np
+
+    from quern.functions.stats import linear_percentiles
+
+    rows = [("a", int(x)) for x in np.random.default_rng(3).integers(0, 40, 301)] + [("b", 5), ("c", None)]
+    got = {r.g: r for r in linear_percentiles(spark.createDataFrame(rows, "g string, v int"), "v", {"p1": 0.01, "p50": 0.5, "p99": 0.99}, "g").collect()}
+    mine = [v for g, v in rows if g == "a"]
+    assert [got["a"].p1, got["a"].p50, got["a"].p99] == pytest.approx([np.percentile(mine, p) for p in (1, 50, 99)])
+    assert got["b"].p1 == 5 and "c" not in got
+
+
+def test_steps_know_their_rank(spark):
+    from pyspark.sql import types as T
+
+    from quern.operators.annotate import Step, run_step
+
+    step = Step("ranks", T.StructType([T.StructField("rank", T.LongType()), T.StructField("world", T.LongType())]), lambda rows, rank, world: ({"rank": rank, "world": world} for _ in rows))
+    got = {(r.rank, r.world) for r in run_step(spark.range(0, 100, 1, 4), step).collect()}
+    assert got == {(k, 4) for k in range(4)}
