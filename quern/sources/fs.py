@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -28,8 +30,21 @@ class Folder:
             stream.close()
 
     def create(self, path: str, text: str = "") -> bool:
-        """Writes a file that must not be there; False if it is. Of several that try, one succeeds."""
+        """Writes a file that must not be there; False if it is.
+
+        Of several that try, one succeeds, where the file system creates in one step: HDFS does, local disks here do by
+        the system's own call, object stores if they have conditional writes.
+        """
         where, fs = self._at(path)
+        if fs.getScheme() == "file":
+            local = Path(where.toUri().getPath())
+            local.parent.mkdir(parents=True, exist_ok=True)
+            try:
+                with open(local, "x", encoding="utf-8") as f:
+                    f.write(text)
+            except FileExistsError:
+                return False
+            return True
         try:
             stream = fs.create(where, False)
         except Exception:
