@@ -164,6 +164,8 @@ class Items:
 
         self.ids, self.tokens, self.rule, self.own, mine = map(list, zip(*entries)) if entries else ([], [], [], [], [])
         self.target = mine
+        self._mask = [int("".join(map(str, reversed(own))) or "0", 2) for own in self.own]
+        self._need = [SHARE * sum(own) for own in self.own]
         at: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
         for k, toks in enumerate(self.tokens):
             size = self.piece(k)
@@ -214,11 +216,7 @@ class Items:
         return a, b, c, d, size >= rule["run"] and myers(item[a : b + 1], toks[c : d + 1]) <= ERROR_RATE * size
 
     def _covers(self, k: int, seeds: list[tuple[int, int]], shared: list[tuple[int, int, list]], toks: list[str]) -> bool:
-        item, mask = self.tokens[k], self.own[k]
-        need = SHARE * sum(mask)
-        if not need:
-            return False
-        covered = bytearray(len(item))
+        covered = 0  # as bits, one a token
         done: set[tuple[int, int]] = set()
         spans: list[tuple[int, int, int, int]] = []
         for i, j, others in [*((i, j, ()) for i, j in seeds), *shared]:
@@ -228,8 +226,8 @@ class Items:
             done.add((i, j))
             spans.append((a, b, c, d))
             if good and not any(self.ids[x] != self.ids[k] and self._run(x, y, j, toks)[4] for x, y in others):
-                covered[a : b + 1] = b"\1" * (b - a + 1)
-        return sum(x & y for x, y in zip(covered, mask)) >= need
+                covered |= (1 << b - a + 1) - 1 << a
+        return covered != 0 and self._need[k] > 0 and (covered & self._mask[k]).bit_count() >= self._need[k]
 
 
 _BUILT: dict[str, Items] = {}

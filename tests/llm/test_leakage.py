@@ -137,3 +137,9 @@ def test_wording_shared_over_passes_is_masked():
     b[5:10] = a[5:10]
     copied = " ".join(_passage(30, 63) + [*a[:4], "zzz", *a[5:10]] + _passage(30, 64))
     assert [Items(*p).matches(copied) for p in Wording([("a", " ".join(a)), ("b", " ".join(b))]).passes(1)] == [["a"], []]
+
+
+def test_an_item_of_shared_wording_only_has_no_passage():
+    both = " ".join(_passage(30, 95))
+    items = Items.of([("a", both), ("b", both), ("c", both + " " + " ".join(_passage(30, 96)))])
+    assert items.matches(" ".join(_passage(20, 97)) + " " + both) == []
