@@ -9,6 +9,7 @@ from quern.functions import citations as C
 from quern.functions import cutpoints as P
 from quern.functions import ids as I
 from quern.functions import textchecks as X
+from quern.functions import tokenizer as K
 from quern.plans.registry import Catalogue
 from quern.tables import load
 
@@ -64,6 +65,50 @@ def completion_budget(spark, sf_dir):
     return docs.select("doc_id", P.completion_budget(1024, P.token_count(F.col("text")) + 20, 64, 512).alias("budget"))
 
 
+# -- the same by an existing tokenizer; with bytes as tokens, which SQL can count, and with a vocabulary
+
+
+def _spans(spark, sf_dir, path):
+    docs = load(spark, sf_dir, "documents").where("text <> ''").select("doc_id", "text")
+    return docs.withColumn("_s", K.token_spans(F.col("text"), path))
+
+
+_BYTES = "octet_length(encode({0}))"
+_AT = f"list_max(list_filter(range(0, {{0}} + 1), lambda c: {_BYTES.format('left(text, c::int)')} <= {{0}}))"
+
+
+def _cuts(spark, sf_dir, path):
+    d = _spans(spark, sf_dir, path)
+    head, kept = K.truncated(F.col("text"), F.col("_s"), 50)
+    end, slot = K.end_slot(F.col("_s"), 80)
+    return d.select(
+        "doc_id", F.size("_s.starts").alias("n_tokens"), K.cut_point(F.col("text"), F.col("_s"), 50).alias("point"), F.length(head).alias("head_chars"), kept.alias("kept"), end.alias("end_offset"), slot.alias("slot"), K.token_index(F.col("_s"), F.lit(400)).alias("token")
+    )
+
+
+@query(
+    f"""SELECT doc_id, n::int AS n_tokens, (CASE WHEN n <= 50 THEN length(text) ELSE {_AT.format(50)} END)::int AS point, (CASE WHEN n <= 50 THEN length(text) ELSE {_AT.format(50)} END)::int AS head_chars, least(n, 50)::int AS kept,
+    (CASE WHEN n <= 80 THEN length(text) ELSE {_AT.format(79)} + 1 END)::int AS end_offset, least(n, 80)::int AS slot, {_BYTES.format("left(text, 400)")}::int AS token FROM (SELECT doc_id, text, {_BYTES.format("text")} AS n FROM documents WHERE text <> '')"""
+)
+def byte_cuts(spark, sf_dir):
+    """Counts, cut points, end slots and token indices with every byte a token."""
+    return _cuts(spark, sf_dir, "")
+
+
+@query()
+def bpe_cuts(spark, sf_dir):
+    """Counts, cut points, end slots and token indices in the tokens of a public vocabulary."""
+    return _cuts(spark, sf_dir, K.TOKENIZER)
+
+
+@query()
+def bpe_sampled_cut(spark, sf_dir):
+    """A drawn token's start and index, and one drawn over characters."""
+    u = I.uniform("cut", F.col("doc_id"))
+    start, at = K.sampled_cut(F.col("_s"), u, 3800)
+    return _spans(spark, sf_dir, K.TOKENIZER).select("doc_id", start.alias("point"), at.alias("token"), P.sampled_index(F.length("text"), u).alias("char_point"))
+
+
 def _cites(column, alias="i"):
     return f"""SELECT item_id, iteration, id, min(ord) AS ord FROM (
         SELECT item_id, iteration, trim(part) AS id, gi * 1000 + pi AS ord FROM (

@@ -252,3 +252,27 @@ def test_log_sections_and_flags(spark):
     log = "[text] a\n[tool] b\nlost\n[text] ## Final Summary\nkept\n[done] x\nlost too"
     row = spark.createDataFrame([(log, "--x --context-length=4096"), ("no text", "--context-length 8"), (None, None)], "l string, f string").select(log_summary(F.col("l")).alias("s"), context_length(F.col("f")).alias("n")).collect()
     assert [tuple(r) for r in row] == [("## Final Summary\nkept", 4096), (None, 8), (None, None)]
+
+
+@pytest.mark.parametrize("path", ["", None])
+def test_token_offsets(spark, path):
+    from quern.functions import tokenizer as K
+
+    path = K.TOKENIZER if path is None else path
+    texts = ["The old miller, 1950.", "日本語の本🎉 é", " ", "a", "x" * 3000, None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").withColumn("s", K.token_spans(F.col("t"), path))
+    cut, (end, slot), index = K.cut_point(F.col("t"), F.col("s"), 3), K.end_slot(F.col("s"), 3), [K.token_index(F.col("s"), F.lit(o)).alias(f"i{o}") for o in (0, 1, 5, 9000)]
+    head, kept = K.truncated(F.col("t"), F.col("s"), 3)
+    rows = df.where("t is not null").select("k", "s", cut.alias("cut"), end.alias("end"), slot.alias("slot"), head.alias("head"), kept.alias("kept"), *index).orderBy("k").collect()
+    for r in rows:
+        text, (starts, ends) = texts[r.k], K.offsets(texts[r.k], path)
+        assert r.s.starts == list(starts) and r.s.ends == list(ends) and starts[0] == 0 and ends[-1] == len(text)
+        assert all(a <= b for a, b in zip(starts, starts[1:])) and all(a < b for a, b in zip(starts, ends))
+        assert r.cut == (len(text) if len(starts) <= 3 else starts[3]) and r.head == text[: r.cut] and r.kept == r.slot == min(3, len(starts)) and r.end == ends[r.slot - 1]
+        for o in (0, 1, 5, 9000):
+            later = [k for k, s in enumerate(starts) if s >= o]
+            assert r[f"i{o}"] == (len(starts) if not later else later[0] if starts[later[0]] == o else max(later[0] - 1, 0))
+    if not path:
+        assert [len(r.s.starts) for r in rows] == [len(t.encode()) for t in texts[:-1]]
+    with pytest.raises(Exception, match="without tokens"):
+        spark.createDataFrame([("",)], "t string").withColumn("s", K.token_spans(F.col("t"), path)).select(K.cut_point(F.col("t"), F.col("s"), 3)).collect()
