@@ -187,9 +187,9 @@ class Model:
                     ids[i] = k
         return np.array(ids, dtype=np.int64)
 
-    def emission(self, word: str) -> np.ndarray:
-        row = self.rows([word])[0]
-        return self._table[row]
+    def emissions(self, words: list[str]) -> np.ndarray:
+        rows = self.rows(words)
+        return self._table[rows]
 
     def marginals(self, sequences: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Marginals of each sequence, and the rows of its words, worked out in batches of like lengths."""
@@ -311,7 +311,7 @@ def fit(texts: list[tuple[str, str]], seed: int = 7) -> Model:
     if pieces:
         _train(pieces, weights, trans, 1, rng)
         first = Model(weights, trans)
-        kept = [p for p in pieces if int(sum(first.emission(w) for w in p[0]).argmax()) == p[1]]
+        kept = [p for p in pieces if int(first.emissions(p[0]).sum(0).argmax()) == p[1]]
         if kept:
             weights = _initial()
             trans = _train(kept, weights, trans, EPOCHS, rng)

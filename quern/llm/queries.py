@@ -93,4 +93,10 @@ def p10_site_rates(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_agreement, p3_reliability, p3_dimension_agreement, p4_found, p4_segments, p5_found, p5_statistics, p6_found, p6_cut_rates, p7_token_totals, p7_item_tokens, p8_found, p8_leak_counts, p9_mix, p9_shares, p10_found, p10_site_rates)}
-SQL: dict[str, str] = {}
+_TRIM = "lower(regexp_replace({0}, '^[\\s\\x{{00a0}}\\x{{3000}}]+|[\\s\\x{{00a0}}\\x{{3000}}]+$', '', 'g'))"
+SQL: dict[str, str] = {
+    "p3_dimension_agreement": f"""WITH r AS (SELECT k, iteration, scores FROM (SELECT *, row_number() OVER (PARTITION BY k, iteration, w ORDER BY created_at DESC NULLS LAST, review_seq DESC) AS rn FROM (SELECT *, {_TRIM.format("item_id")} AS k, {_TRIM.format("reviewer_id")} AS w FROM reviews WHERE item_id IS NOT NULL AND iteration IS NOT NULL AND reviewer_id IS NOT NULL)) WHERE rn = 1),
+      v AS (SELECT k, iteration, unnest(map_keys(scores)) AS voice, unnest(map_values(scores)) AS m FROM r), d AS (SELECT k, iteration, voice, unnest(map_keys(m)) AS dim, unnest(map_values(m)) AS score FROM v),
+      c AS (SELECT voice, dim, k, iteration, score, count(*) AS c FROM d WHERE score IS NOT NULL GROUP BY ALL), p AS (SELECT voice, dim, k, iteration, sum(c * (c - 1))::bigint AS same, sum(c)::bigint AS n FROM c GROUP BY ALL)
+      SELECT voice, dim, sum(n)::bigint AS n_scores, sum(same)::bigint AS n_equal, sum(n * (n - 1))::bigint AS n_pairs, sum(same)::bigint / nullif(sum(n * (n - 1))::bigint, 0)::double AS agreement FROM p GROUP BY ALL""",
+}

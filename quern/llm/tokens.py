@@ -50,26 +50,38 @@ def _counter(path: str):
     return _LOADED[path]
 
 
+def _cuts_at(text: str, i: int) -> bool:
+    """Whether the split pattern always cuts before place ``i``: at a space between letters, and where letters or digits end and what follows is no space."""
+    a, b = text[i - 1], text[i]
+    if b == " ":
+        return a.isalpha() and text[i + 1 : i + 2].isalpha()
+    return a.isalpha() and not b.isspace() and not b.isalpha()
+
+
 def _pieces(text: str) -> Iterator[str]:
-    """Cuts at a single space between a letter and a letter, where the split pattern cuts as well."""
+    """Parts of a long text, cut where the split pattern cuts as well."""
     at = 0
     while len(text) - at > PIECE:
         cut = at + PIECE
-        while cut > at and not (text[cut] == " " and text[cut - 1].isalpha() and text[cut + 1 : cut + 2].isalpha()):
+        while cut > at and not _cuts_at(text, cut):
             cut -= 1
-        if cut == at:
-            break
+        if cut == at:  # one run of letters: it goes whole
+            cut = at + PIECE
+            while cut < len(text) and not _cuts_at(text, cut):
+                cut += 1
         yield text[at:cut]
         at = cut
-    yield text[at:]
+    if at < len(text):
+        yield text[at:]
 
 
 def count_tokens(text: Column, tokenizer: str = TOKENIZER) -> Column:
     """Exact token counts of a text column; null for null."""
 
     def run(s: pd.Series) -> pd.Series:
-        counts = iter(_counter(tokenizer)([t for t in s if t is not None]))
-        return pd.Series([None if t is None else next(counts) for t in s], dtype="Int64")
+        texts = list(dict.fromkeys(t for t in s if t is not None))  # versions in one batch are encoded once
+        counts = dict(zip(texts, _counter(tokenizer)(texts)))
+        return pd.Series([None if t is None else counts[t] for t in s], dtype="Int64")
 
     return F.pandas_udf(run, T.LongType())(text)
 

@@ -50,3 +50,13 @@ def test_cube_equals_brute_force(spark, tables):
     got = {(r.corpus, r.lang, r.topic, r.level): (r.n_items, r.n_tokens) for r in tokens.token_cube(per).collect()}
     assert got == {k: (v["n"], v["t"]) for k, v in want.items()}
     assert tokens.item_tokens(tables("items").limit(0)).collect() == []
+
+
+def test_long_texts_without_spaces_are_cut_where_the_pattern_cuts(monkeypatch):
+    from quern.llm import tokens
+
+    texts = ["日本語の文です。次の文、" * 40, "abc123DEF/+x" * 60, "plain words go on and on " * 30, "a" * 900, "x's don't we're " * 40, "12 34,5 6\n\n7  8 " * 30]
+    whole = tokens._counter(tokens.TOKENIZER)(texts)
+    monkeypatch.setattr(tokens, "PIECE", 50)
+    assert tokens._counter(tokens.TOKENIZER)(texts) == whole
+    assert max(map(len, tokens._pieces(texts[0]))) <= 50 and "".join(tokens._pieces(texts[4])) == texts[4]

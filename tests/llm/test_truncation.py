@@ -137,3 +137,27 @@ def test_rows_that_length_overturns_are_counted(spark):
 
 def test_long_words_stay_whole():
     assert t._key("So " + "a" * 300 + " " + "b" * 300) == "so " + "a" * 300 + "|" + "a" * 300 + " " + "b" * 300
+
+
+def test_recall_on_cuts_made_here(spark, tables):
+    """Whole values of the table, half of them cut at any place within a sentence."""
+    import random
+
+    rng = random.Random(8)
+    items = tables("items", "sf0.01")
+    sure = t.scored_values(items).where("field_name = 'reflection' and not is_cut and ending = 'whole'").select("item_id", "iteration")
+    rows = sure.join(items, ["item_id", "iteration"]).select("item_id", "iteration", "model", "gen_prompt", "reflection", "created_at").dropDuplicates(["item_id", "iteration"]).orderBy("item_id", "iteration").collect()
+    made, cut = [], set()
+    for k, r in enumerate(rows):
+        text = r.reflection
+        if k % 10 == 0 and len(text) > 80:
+            at = rng.randint(40, len(text) - 5)
+            while at > 40 and not (text[at - 1].isalpha() and text[at].isalpha()):
+                at -= 1
+            if at > 40 and ord(text[at]) < 0x2E80:
+                text = text[:at]
+                cut.add((r.item_id, r.iteration))
+        made.append((r.item_id, r.iteration, r.model, r.gen_prompt, text, None, r.created_at))
+    found = t.scored_values(spark.createDataFrame(made, SCHEMA + ", created_at timestamp_ntz")).where("is_cut").select("item_id", "iteration").collect()
+    got = {(r.item_id, r.iteration) for r in found}
+    assert len(cut) > 20 and len(got & cut) / len(cut) >= 0.9 and len(got & cut) / len(got) >= 0.9
