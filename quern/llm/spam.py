@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from quern.llm.textnorm import CJK, LOOKALIKES
 from quern.llm.words import guess, is_function
-from quern.session import materialize, spread
+from quern.session import materialize, small_table, spread
 
 FEATURES = ("density", "entropy", "repetition", "bare")
 #: Least scale of each feature, and the scales at which values are clipped for the correlation.
@@ -181,6 +181,12 @@ def spam_features(documents: DataFrame, *keep: str) -> DataFrame:
     return spread(documents.select("doc_id", *keep, "text").where("doc_id is not null and text is not null")).mapInPandas(run, schema)
 
 
+def _beside(df: DataFrame, key: str, values: dict[str, list[float]], names: list[str]) -> DataFrame:
+    """``df`` with the values of its group (a language, so a handful of rows) beside each row."""
+    groups = small_table(df.sparkSession, [(g, *v) for g, v in values.items()], ", ".join([f"{key} string", *[f"{n} double" for n in names]]))
+    return df.join(groups, key)
+
+
 def _robust(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """Per language and for all ("*"): centre, scale, inverse correlation, documents. One row a language comes to the driver."""
     both = table.withColumn("_g", F.explode(F.array("lang_guess", F.lit("*"))))
@@ -190,13 +196,13 @@ def _robust(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndar
     if not centre:
         return {}
 
-    def const(of: dict, k: int):
-        return F.create_map(*[x for g, v in of.items() for x in (F.lit(g), F.lit(float(v[k])))])[F.col("_g")]
-
-    dev = both.select("_g", *[F.abs(F.col(f) - const(centre, k)).alias(f) for k, f in enumerate(FEATURES)])
+    k = range(len(FEATURES))
+    near = _beside(both, "_g", {g: [float(x) for x in c] for g, c in centre.items()}, [f"_c{i}" for i in k])
+    dev = near.select("_g", *[F.abs(F.col(f) - F.col(f"_c{i}")).alias(f) for i, f in enumerate(FEATURES)])
     mads = dev.groupBy("_g").agg(*[F.percentile_approx(f, 0.5, 1000).alias(f) for f in FEATURES]).collect()
     scale = {r["_g"]: np.maximum(1.4826 * np.array([r[f] for f in FEATURES]), FLOOR) for r in mads}
-    z = both.select("_g", *[F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), (F.col(f) - const(centre, k)) / const(scale, k))).alias(f) for k, f in enumerate(FEATURES)])
+    near = _beside(both, "_g", {g: [float(x) for x in (*centre[g], *scale[g])] for g in centre}, [f"_c{i}" for i in k] + [f"_s{i}" for i in k])
+    z = near.select("_g", *[F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), (F.col(f) - F.col(f"_c{i}")) / F.col(f"_s{i}"))).alias(f) for i, f in enumerate(FEATURES)])
     dims = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
     moments = z.groupBy("_g").agg(*[F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"m{i}_{j}") for i, j in dims]).collect()
     out = {}
@@ -218,15 +224,11 @@ def spam_scores(documents: DataFrame, *keep: str) -> DataFrame:
     if not stats:
         return table.select("*", F.lit(0.0).alias("distance"), F.lit(0.0).alias("toward"), F.lit(False).alias("is_spam"))
     use = {g: stats[g] if stats[g][3] >= LEAST and g != "und" else stats["*"] for g in stats}
-    group = F.col("lang_guess")
-
-    def const(value):
-        return F.create_map(*[x for g in use for x in (F.lit(g), F.lit(float(value(use[g]))))])[group]
-
-    zs = [(F.col(f) - const(lambda s, k=k: s[0][k])) / const(lambda s, k=k: s[1][k]) for k, f in enumerate(FEATURES)]
-    scored = table.withColumns({f"_z{k}": z for k, z in enumerate(zs)})
     k = len(FEATURES)
-    distance = sum(F.col(f"_z{i}") * F.col(f"_z{j}") * const(lambda s, i=i, j=j: s[2][i, j]) for i in range(k) for j in range(k))
+    names = [f"_c{i}" for i in range(k)] + [f"_s{i}" for i in range(k)] + [f"_p{i}{j}" for i in range(k) for j in range(k)]
+    near = _beside(table, "lang_guess", {g: [float(x) for x in (*c, *d, *inverse.ravel())] for g, (c, d, inverse, _) in use.items()}, names)
+    scored = near.withColumns({f"_z{i}": (F.col(f) - F.col(f"_c{i}")) / F.col(f"_s{i}") for i, f in enumerate(FEATURES)})
+    distance = sum(F.col(f"_z{i}") * F.col(f"_z{j}") * F.col(f"_p{i}{j}") for i in range(k) for j in range(k))
     toward = sum(F.greatest(F.col(f"_z{i}"), F.lit(0.0)) for i in range(k)) - sum(F.greatest(-F.col(f"_z{i}"), F.lit(0.0)) for i in range(k))
     scored = scored.withColumn("distance", distance).withColumn("toward", toward)
     spam = (F.col("distance") > CUT) & (F.col("toward") > 0)
