@@ -440,7 +440,8 @@ def training_sample(items: DataFrame) -> list[tuple[str, str]]:
 def text_segments(items: DataFrame, kinds: bool = False, offsets: bool = True) -> DataFrame:
     """item_id, position, lang, confidence, n_words, full, start and end of every segment, once per item.
 
-    With ``kinds``, texts that are no prose are left out in the same pass.
+    With ``kinds``, texts that are no prose are left out in the same pass; those all
+    in the one language of all their labels, which are no cases anyway, go unlooked at.
     """
     from quern.llm import quality
 
@@ -458,13 +459,17 @@ def text_segments(items: DataFrame, kinds: bool = False, offsets: bool = True) -
         for pdf in batches:
             for at in range(0, len(pdf), 1000):
                 some = pdf.iloc[at : at + 1000]
-                if odd:
-                    some = some[[quality.text_kind(quality.Layout(t, odd.grams), odd)[0] is None for t in some["text"]]]
                 got = segments(some["text"].tolist(), mine, offsets)
-                yield pd.DataFrame({"item_id": some["item_id"].tolist(), "segs": [[dict(zip(names, s)) for s in segs] for segs in got]})
-
-    texts = quality.item_texts(items)
-    found = texts.where(F.trim("text") != "").select("item_id", "text").mapInPandas(run, schema)
+                keep = [True] * len(got)
+                if odd:
+                    cases = [len(found := {s[0] for s in segs}) > 1 or found != set(labels) for segs, labels in zip(got, some["labels"])]
+                    keep = [c and quality.text_kind(quality.Layout(t, odd.grams), odd)[0] is None for c, t in zip(cases, some["text"])]
+                out = [(i, [dict(zip(names, s)) for s in segs]) for i, segs, k in zip(some["item_id"], got, keep) if k]
+                yield pd.DataFrame({"item_id": [i for i, _ in out], "segs": [s for _, s in out]})
+
+    label = F.coalesce(clean_language(F.col("subset")), F.lit("")) if kinds else F.lit("")
+    texts = items.where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"), F.collect_set(label).alias("labels"))
+    found = texts.where(F.trim("text") != "").select("item_id", "text", "labels").mapInPandas(run, schema)
     return found.select("item_id", F.posexplode("segs").alias("position", "_s")).select("item_id", (F.col("position") + 1).alias("position"), "_s.*")
 
 
