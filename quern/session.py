@@ -52,17 +52,24 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
-    return F.broadcast(df) if n_rows <= 100_000 else df
+_SCRATCH: set[str] = set()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
+    """A new path in the shared folder, removed by ``release`` or when the driver ends."""
+    if not _SCRATCH:
+        atexit.register(release, spark)
     path = f"{shared_dir(spark)}/quern_{name}_{os.getpid()}_{uuid.uuid4().hex[:12]}"
-    atexit.register(_remove, spark, path)
+    _SCRATCH.add(path)
     return path
 
 
+def release(spark: SparkSession) -> None:
+    """Removes all tables written so far; a long session calls it once it has no more use for the results that read them."""
+    while _SCRATCH:
+        _remove(spark, _SCRATCH.pop())
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
