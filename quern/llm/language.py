@@ -53,6 +53,8 @@ BUCKETS = 1 << 15
 EPOCHS, BATCH, RATE = 3, 64, 0.05
 #: Least words (characters, in scripts without spaces) of a full sentence, and its least mean marginal.
 SENTENCE_WORDS, SENTENCE_CHARS, SURE = 4, 8, 0.6
+#: Words of a text that are worked out at a time; longer texts are in several parts, which bounds the memory and cuts the chain there.
+PART_WORDS = 50_000
 #: Least share of a segment's words that its language must know, and of its different words, or so many of these.
 KNOWN, KNOWN_KINDS, ENOUGH_KINDS = 0.2, 0.15, 12
 UND = "und"
@@ -385,9 +387,13 @@ def segments(texts: list[str], model: Model, offsets: bool = False) -> list[list
     """Of each text, its stretches in one language: language, confidence, words, whether any sentence is full, and (if asked for) where they begin and end."""
     cut = [_cut(t) for t in texts]
     toks = [[(at, s, bracketed, tokens_of(s)) for at, s, bracketed in ss] for ss in cut]
-    posts = model.marginals([[w for x in ts for w in x[3]] for ts in toks])
+    words = [[w for x in ts for w in x[3]] for ts in toks]
+    parts_of = [range(0, max(len(ws), 1), PART_WORDS) for ws in words]
+    done = iter(model.marginals([ws[at : at + PART_WORDS] for ws, ats in zip(words, parts_of) for at in ats]))
     out = []
-    for ts, (post, rows) in zip(toks, posts):
+    for ts, ats in zip(toks, parts_of):
+        some = [next(done) for _ in ats]
+        post, rows = some[0] if len(some) == 1 else (np.concatenate([p for p, _ in some]), np.concatenate([r for _, r in some]))
         runs: list[list] = []
         i = 0
         for at, s, bracketed, ws in ts:

@@ -109,3 +109,12 @@ def test_offsets_cover_the_words():
     text = "The letter of the clerk was (это письмо было не в доме, и он не знает, что это.) in the house and it is old.\n\nЭто письмо было не в доме, и он не знает."
     for lang, _, n, _, a, b in L.segments([text], model, offsets=True)[0]:
         assert 0 <= a < b <= len(text) and n and lang in ("en", "rus")
+
+
+def test_texts_in_parts_give_the_same_segments(monkeypatch):
+    model = L.fit([])
+    texts = ["the letter of the clerk was in the house and it is old. это письмо было не в доме, и он не знает. " * 30, "", "the letter", "これは古い手紙です。" * 40]
+    whole = L.segments(texts, model, offsets=True)
+    monkeypatch.setattr(L, "PART_WORDS", 100)
+    parts = L.segments(texts, model, offsets=True)
+    assert [[(s[0], s[2], s[3], s[4], s[5]) for s in segs] for segs in parts] == [[(s[0], s[2], s[3], s[4], s[5]) for s in segs] for segs in whole]
