@@ -261,6 +261,8 @@ def _sequences(pieces: list[tuple[list[str], int]], rng: np.random.Generator) ->
 def _train(pieces: list[tuple[list[str], int]], weights: np.ndarray, trans: np.ndarray, epochs: int, rng: np.random.Generator) -> np.ndarray:
     """Stochastic gradient ascent on the log likelihood; ``weights`` are changed in place."""
     words, labels = _sequences(pieces, rng)
+    ys = [np.array(y) for y in labels]
+    eye = np.eye(_N)
     vocab: dict[str, int] = {}
     ids = [np.array([vocab.setdefault(w, len(vocab)) for w in ws]) for ws in words]
     feats = [np.array(word_features(w)) for w in vocab]
@@ -274,15 +276,15 @@ def _train(pieces: list[tuple[list[str], int]], weights: np.ndarray, trans: np.n
             some = order[b * BATCH : (b + 1) * BATCH]
             lengths = np.array([len(ids[i]) for i in some])
             live = np.arange(lengths.max())[None, :] < lengths[:, None]
-            which = np.zeros(live.shape, dtype=int)
+            y = np.concatenate([ys[i] for i in some])
             gold = np.zeros((*live.shape, _N))
-            gpair = np.zeros((_N, _N))
-            for k, i in enumerate(some):
-                which[k, : lengths[k]] = ids[i]
-                y = np.array(labels[i])
-                gold[k, np.arange(lengths[k]), y] = 1
-                np.add.at(gpair, (y[:-1], y[1:]), 1)
-            seen, where = np.unique(which[live], return_inverse=True)
+            gold[live] = eye[y]
+            within = np.ones(len(y), dtype=bool)
+            within[np.cumsum(lengths) - 1] = False  # no pair with the next sequence
+            first = np.flatnonzero(within)
+            gpair = np.bincount(y[first] * _N + y[first + 1], minlength=_N * _N).reshape(_N, _N).astype(float)
+            mine_ids = np.concatenate([ids[i] for i in some])
+            seen, where = np.unique(mine_ids, return_inverse=True)
             owner = np.repeat(np.arange(len(seen)), sizes[seen])
             inner = np.arange(len(owner)) - np.repeat(np.concatenate([[0], np.cumsum(sizes[seen])[:-1]]), sizes[seen])
             mine = flat[starts[seen][owner] + inner]
