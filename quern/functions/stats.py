@@ -69,8 +69,8 @@ def concordance(a: Column, b: Column) -> Column:
     return F.count_if(both & (a == b)) / F.nullif(F.count_if(both).cast("double"), F.lit(0.0))
 
 
-def index_percentile(df: DataFrame, value: str, shares: dict[str, float], *group: str) -> DataFrame:
-    """Per group: the value at index min(n - 1, int(p n)) of the sorted values, from counts per value.
+def index_percentile(df: DataFrame, value: str, shares: dict[str, float], *group: str, **more: Column) -> DataFrame:
+    """Per group: the value at index min(n - 1, int(p n)) of the sorted values, from counts per value (``_c``), and ``more`` aggregates over these.
 
     The histogram of the values is what is sorted, not the values, so a hot
     group costs as many rows as it has distinct values.
@@ -79,7 +79,7 @@ def index_percentile(df: DataFrame, value: str, shares: dict[str, float], *group
     w = Window.partitionBy(*group)
     run = hist.withColumn("_upto", F.sum("_c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(w))
     at = lambda p: F.least(F.col("_n") - 1, F.floor(F.lit(p) * F.col("_n")))
-    return run.groupBy(*group).agg(F.max("_n").alias("n"), *[F.min(F.when(F.col("_upto") > at(p), F.col(value))).alias(name) for name, p in shares.items()])
+    return run.groupBy(*group).agg(F.max("_n").alias("n"), *[F.min(F.when(F.col("_upto") > at(p), F.col(value))).alias(name) for name, p in shares.items()], *[c.alias(name) for name, c in more.items()])
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -120,10 +120,10 @@ _LEN = "SELECT lang, length(text) AS l FROM documents WHERE text IS NOT NULL"
 def length_profile(spark, sf_dir):
     """Lengths per language: number, mean, percentiles by index, largest, and the shares over two caps."""
     d = load(spark, sf_dir, "documents").where("text is not null").select("lang", F.length("text").cast("long").alias("l"))
-    n = F.count("*").cast("double")
-    sums = d.groupBy("lang").agg((F.sum("l") / n).alias("mean"), F.max("l").alias("longest"), *[(F.count_if(F.col("l") > cap) / n).alias(f"over_{cap}") for cap in (1000, 2000)])
-    p = S.index_percentile(d, "l", {"p50": 0.5, "p90": 0.9, "p95": 0.95}, "lang")
-    return p.join(F.broadcast(sums.withColumnRenamed("lang", "_lang")), F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang")  # one row a language
+    v, c = F.col("l"), F.col("_c")
+    n = F.sum(c).cast("double")
+    over = {f"over_{cap}": F.coalesce(F.sum(F.when(v > cap, c)), F.lit(0)) / n for cap in (1000, 2000)}
+    return S.index_percentile(d, "l", {"p50": 0.5, "p90": 0.9, "p95": 0.95}, "lang", mean=F.sum(v * c) / n, longest=F.max(v), **over)
 
 
 @query(f"WITH d AS ({_LEN}) SELECT b::int AS bin, count(l) AS n, 100.0::double * count(l) / (SELECT count(*) FROM d)::double AS pct FROM range(0, 20) t(b) LEFT JOIN (SELECT least(floor(l / 200.0), 19) AS lb, l FROM d) x ON x.lb = b GROUP BY 1")
