@@ -33,7 +33,7 @@ BUCKET = 50_000
 #: Rows of a plan from which on it is not broadcast, and the places in which the documents of a length meet it then.
 MANY, SALT = 50_000, 16
 #: Tokens left to the dynamic programming: so many, or so many times the largest length; and the draws of the bulk.
-DP_TOKENS, DP_LENGTHS, DRAWS = 200_000, 6, 8
+DP_TOKENS, DP_LENGTHS, DRAWS = 100_000, 6, 8
 
 
 def clean_source(source: Column) -> Column:
