@@ -35,6 +35,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
 import numpy as np
@@ -454,9 +455,11 @@ def text_segments(items: DataFrame, kinds: bool = False, offsets: bool = True) -
     from quern.llm import quality
 
     spark = items.sparkSession
-    model = fit(training_sample(items))
+    with ThreadPoolExecutor(1) as pool:  # the two samples are read side by side
+        later = pool.submit(lambda: quality.fit_kinds(quality.sample_texts(items))) if kinds else None
+        model = fit(training_sample(items))
+        kind = later.result() if later else None
     sent = spark.sparkContext.broadcast((model.weights, model.trans, model.known))
-    kind = quality.fit_kinds(quality.sample_texts(items)) if kinds else None
     judge = spark.sparkContext.broadcast((kind.grams.grams, kind.weights) if kind else None)
     schema = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("segs", T.ArrayType(_SEGMENT))])
     names = _SEGMENT.names
