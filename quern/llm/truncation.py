@@ -6,8 +6,8 @@ or object left open, a last sentence whose final words end sentences elsewhere
 in the corpus or never do. And its length: for each source (model and field) a
 right-censored log-normal is fitted by maximum likelihood (cut values are lower
 bounds, in the measure in which they are cut, and values at a limit all are);
-lengths at which many more values stand than the fitted density expects are
-candidate limits, and the excess gives the posterior that a value of that length
+lengths at which many more values stand than the fitted density expects, most of
+them with an end that shows a cut, are candidate limits, and the excess gives the posterior that a value of that length
 was cut there. Which values are cut is found by expectation and maximization over
 all sources, and with it what each ending weighs: the log of how often cut values
 show it to how often whole ones do. The log-odds of the ending are added to those of a
@@ -60,8 +60,9 @@ ROUNDS = 12
 FRAMES = 20
 
 _MARK = re.compile(r"(?:…|\.{3,}|\[\+?\d* ?(?:chars?|characters|more)\]|[\[(<{]{1,2}\s*(?:truncated|cut|cut off|snip(?:ped)?|…|\.\.\.|\+?\d+ chars?(?: truncated)?|continued|more)\s*[\])>}]{1,2}|\(more\)|<cut>|�)[\s\"'”»}]*$", re.I)
-_CITE = re.compile(r"\s*(?:[\[［][^\[\]［］]*[\]］]|\((?:[A-Z]|\d+)\.\d+\))")
-_STOP = re.compile(r"[.!?。！？]+[\"'”»』」)\]]*(?:\s+|$|(?<=[。！？])(?=.))|\s*\n\s*")
+# white space is matched from the begin of its run only, so long runs take linear time
+_CITE = re.compile(r"(?<!\s)\s*(?:[\[［][^\[\]［］]*[\]］]|\((?:[A-Z]|\d+)\.\d+\))")
+_STOP = re.compile(r"[.!?。！？]+[\"'”»』」)\]]*(?:\s+|$|(?<=[。！？])(?=.))|(?<!\s)\s*\n\s*")
 _WORD = re.compile(f"[{CJK}]|[^\\W_{CJK}]+")
 _CJK1 = re.compile(f"[{CJK}]")
 _FENCE = re.compile(r"```\w*\s*(.*?)```", re.S)

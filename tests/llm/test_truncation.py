@@ -161,3 +161,15 @@ def test_recall_on_cuts_made_here(spark, tables):
     found = t.scored_values(spark.createDataFrame(made, SCHEMA + ", created_at timestamp_ntz")).where("is_cut").select("item_id", "iteration").collect()
     got = {(r.item_id, r.iteration) for r in found}
     assert len(cut) > 20 and len(got & cut) / len(cut) >= 0.9 and len(got & cut) / len(got) >= 0.9
+
+
+def test_odd_texts_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for odd in (" ", "\n", ". ", "[", "… ", "a\n ", '"'):
+        text = "a" + odd * 100_000 + "b"
+        t.sentence_keys(text)
+        t._ending(text)
+        t.answer_ending("{" + text)
+    assert time.perf_counter() - began < 20
