@@ -455,8 +455,8 @@ def text_segments(items: DataFrame, kinds: bool = False, offsets: bool = True) -
     from quern.llm import quality
 
     spark = items.sparkSession
-    with ThreadPoolExecutor(1) as pool:  # the two samples are read side by side
-        later = pool.submit(lambda: quality.fit_kinds(quality.sample_texts(items))) if kinds else None
+    with ThreadPoolExecutor(1) as pool:  # the two models are fitted side by side
+        later = pool.submit(lambda: quality.fit_texts(quality.distinct_texts(items))) if kinds else None
         model = fit(training_sample(items))
         kind = later.result() if later else None
     sent = spark.sparkContext.broadcast((model.weights, model.trans, model.known))

@@ -10,25 +10,25 @@ vector of a segment; a softmax with fitted weights gives its class (sentence,
 list, table, junk), and if less than half of a text is sentences the largest
 other class names its kind.
 
-The weights are fitted at run time: a bounded sample of ``SAMPLE`` texts, chosen
-by hash, gives sentences, and these are set as prose, lists, tables and damaged
-text in many layouts, so labels are known by construction. Whether words look
-like words is told by letter trigrams of the sample, not by a list of the
-table's words; part of the prose is shown to the fit as if its language were
-unknown, so that prose on other subjects or in other languages stays prose. Everything
-but the sample reads all texts, whole.
+The weights are fitted at run time to the sentences of all texts, each text once:
+they are dealt out in turn to prose, lists, tables and damaged text in many
+layouts, so labels are known by construction and no sentence is left over. The
+texts are fitted in groups of about ``GROUP`` characters, by hash, and the weights
+of the groups averaged. Whether words look like words is told by letter trigrams
+of all sentences (``RARE``), not by a list of the table's words; part of the prose
+is shown to the fit as if its language were unknown, so that prose on other
+subjects or in other languages stays prose.
 
 ``common_share`` counts function words and the words in at least ``COMMON`` of
 all texts; it is a figure and has no part in the kind.
 
 Defined results: null and blank texts are left out; an item's versions and
-deliveries count once; whole texts are read; without any usable sample the fit
-rests on built-in sentences; an empty table gives no rows.
+deliveries count once; whole texts are read; without any usable sentence the fit
+rests on built-in ones; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 from collections import Counter
@@ -42,11 +42,15 @@ from pyspark.sql import types as T
 
 from quern.llm.textnorm import CJK, LOOKALIKES
 from quern.llm.words import FUNCTION_WORDS, is_function
-from quern.session import spread
+from quern.session import materialize, spread
 
 #: Share of all texts that have a common word.
 COMMON = 0.002
-#: Texts the layouts of the fit are made of.
+#: Least share of all sentences in which a letter trigram stands that counts as known.
+RARE = 1 / 5000
+#: Characters of text (about) and most sentences whose layouts are fitted together, and least layouts of all groups.
+GROUP, GROUP_SENTENCES, LAYOUTS = 1_000_000, 16_000, 3000
+#: Texts of ``sample_texts``.
 SAMPLE = 400
 #: Text of fewer characters is too short to be of a kind.
 SHORT = 40
@@ -328,7 +332,7 @@ class Layout:
 
 
 class Kinds:
-    """Letter trigrams of the sample and the weights of the softmax."""
+    """Known letter trigrams and the weights of the softmax."""
 
     def __init__(self, grams: frozenset[str], weights: np.ndarray) -> None:
         self.grams, self.weights = Grams(grams), weights
@@ -369,7 +373,7 @@ def text_kind(lay: Layout, model: Kinds) -> tuple[str | None, float]:
 
 # --- the fit -----------------------------------------------------------------------------------------------------
 
-#: Sentences for the fit where the sample has none; from general knowledge of each language.
+#: Sentences for the fit where the texts have none; from general knowledge of each language.
 BUILT_IN = (
     "The old letter lay on the table for a week before anyone dared to open it.", "Nobody in the town could say who had paid for the new bridge, or why.",
     "Der alte Brief lag eine Woche auf dem Tisch, bevor ihn jemand öffnete.", "Niemand in der Stadt wusste, wer die neue Brücke bezahlt hatte.",
@@ -379,15 +383,48 @@ BUILT_IN = (
 )
 
 
-def _sentences(texts: list[str]) -> list[str]:
-    """Sentences of sample texts that look like such: a stop at the end, function words within."""
+class _Function(dict):
+    """Tells of a word, and keeps, whether it is a function word."""
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) > 200_000:
+            self.clear()
+        got = self[word] = is_function(word)
+        return got
+
+
+_FUNCTION = _Function()
+
+
+def text_sentences(text: str) -> list[str]:
+    """Sentences of a text that look like such: a stop at the end, function words within."""
     out = []
-    for t in texts:
-        for s in _SENT.split(" ".join(t.split())):
-            toks = _WORD.findall(s.lower())
-            if 6 <= len(toks) <= 80 and _STOP.search(s) and sum(map(is_function, toks)) >= 0.12 * len(toks):
-                out.append(s.strip())
-    return out or list(BUILT_IN)
+    for s in _SENT.split(" ".join(text.split())):
+        toks = _WORD.findall(s.lower())
+        if 6 <= len(toks) <= 80 and _STOP.search(s) and sum(map(_FUNCTION.__getitem__, toks)) >= 0.12 * len(toks):
+            out.append(s.strip())
+    return out
+
+
+def _sentences(texts: list[str]) -> list[str]:
+    return [s for t in texts for s in text_sentences(t)] or list(BUILT_IN)
+
+
+class Deal:
+    """Sentences dealt in turn, so that each is used; once all are (``left`` is 0), on from a random place."""
+
+    def __init__(self, rng: random.Random, sents: list[str]) -> None:
+        self.rng, self.sents, self.at, self.left = rng, sents, 0, len(sents)
+
+    def next(self) -> str:
+        if self.at == len(self.sents):
+            self.at = self.rng.randrange(len(self.sents))
+        self.at, self.left = self.at + 1, self.left - 1
+        return self.sents[self.at - 1]
+
+
+def _one(rng: random.Random, sents: list[str] | Deal) -> str:
+    return sents.next() if isinstance(sents, Deal) else rng.choice(sents)
 
 
 def _phrase(rng: random.Random, sentence: str) -> str:
@@ -400,7 +437,7 @@ def _phrase(rng: random.Random, sentence: str) -> str:
     return " ".join(ws[i : i + k]) or sentence
 
 
-def _cell(rng: random.Random, sentence: str) -> str:
+def _cell(rng: random.Random, sents: list[str] | Deal) -> str:
     kind = rng.randrange(5)
     if kind == 0:
         return str(rng.randrange(10 ** rng.randint(1, 5)))
@@ -408,7 +445,7 @@ def _cell(rng: random.Random, sentence: str) -> str:
         return f"{rng.randrange(1000)}{rng.choice('.,')}{rng.randrange(100):02d}{rng.choice(['', '%'])}"
     if kind == 2:
         return rng.choice(["{d:02d}.{m:02d}.{y}", "{y}-{m:02d}-{d:02d}"]).format(d=rng.randint(1, 28), m=rng.randint(1, 12), y=rng.randint(1980, 2025))
-    return _phrase(rng, sentence)
+    return _phrase(rng, _one(rng, sents))
 
 
 def _said(rng: random.Random, sentence: str) -> str:
@@ -419,8 +456,8 @@ def _said(rng: random.Random, sentence: str) -> str:
     return " ".join(ws[: rng.randint(4, 9)]).rstrip(",;:") + rng.choice(["?", ".", ".", "!", "..."])
 
 
-def _prose(rng: random.Random, sents: list[str]) -> str:
-    some = [rng.choice(sents) for _ in range(rng.randint(1, 9))]
+def _prose(rng: random.Random, sents: list[str] | Deal) -> str:
+    some = [_one(rng, sents) for _ in range(rng.randint(1, 9))]
     style = rng.randrange(8)
     gap = "" if _CJK1.search(some[0]) else " "
     if style > 5:  # written carelessly
@@ -440,20 +477,20 @@ def _prose(rng: random.Random, sents: list[str]) -> str:
             line += w + " "
         return "\n".join([*out, line.strip()])
     if style == 2:
-        some = [s + (f" ({_phrase(rng, rng.choice(sents))})" if rng.random() < 0.2 else "") for s in some]
+        some = [s + (f" ({_phrase(rng, _one(rng, sents))})" if rng.random() < 0.2 else "") for s in some]
         return rng.choice(["\n\n", gap]).join(some)
     if style == 3:
         return "\n".join(some)
     return gap.join(some)
 
 
-def _list(rng: random.Random, sents: list[str]) -> str:
+def _list(rng: random.Random, sents: list[str] | Deal) -> str:
     n = rng.randint(5, 24)
     names = rng.random() < 0.25
-    entries = [(f"{_phrase(rng, rng.choice(sents)).split(' ')[0]}: " if names else "") + _phrase(rng, rng.choice(sents)) for _ in range(n)]
+    entries = [(f"{_phrase(rng, _one(rng, sents)).split(' ')[0]}: " if names else "") + _phrase(rng, _one(rng, sents)) for _ in range(n)]
     if rng.random() < 0.3:
         entries = [e[:1].upper() + e[1:] for e in entries]
-    head = rng.choice(["", "", _phrase(rng, rng.choice(sents)) + rng.choice(["", ":", "\n----", "\n"]) + "\n"])
+    head = _phrase(rng, _one(rng, sents)) + rng.choice(["", ":", "\n----", "\n"]) + "\n" if rng.random() < 1 / 3 else ""
     if rng.random() < 0.3:
         return head + rng.choice([", ", "; ", " / ", " | ", " • ", ","]).join(entries) + rng.choice(["", "."])
     mark = rng.choice(["", "", "", "- ", "* ", "• ", "{}. ", "{}) ", "a) ", "[ ] ", "[x] ", "  - ", "({}) "])
@@ -461,9 +498,9 @@ def _list(rng: random.Random, sents: list[str]) -> str:
     return head + "\n".join(mark.format(k) + e + end for k, e in enumerate(entries, 1))
 
 
-def _table(rng: random.Random, sents: list[str]) -> str:
+def _table(rng: random.Random, sents: list[str] | Deal) -> str:
     n, k = rng.randint(4, 16), rng.randint(3, 7)
-    rows = [[_cell(rng, rng.choice(sents)) for _ in range(k)] for _ in range(n)]
+    rows = [[_cell(rng, sents) for _ in range(k)] for _ in range(n)]
     style = rng.randrange(6)
     if style == 0:
         return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
@@ -476,9 +513,9 @@ def _table(rng: random.Random, sents: list[str]) -> str:
     return "\n".join(("| " if sep == " | " and style == 3 else "") + sep.join(r) for r in rows)
 
 
-def _junk(rng: random.Random, sents: list[str]) -> str:
+def _junk(rng: random.Random, sents: list[str] | Deal) -> str:
     style = rng.choice((0, 1, 2, 3, 4, 5, 6, 7, 8, 8, 9, 10))
-    some = " ".join(rng.choice(sents) for _ in range(rng.randint(1, 4)))
+    some = " ".join(_one(rng, sents) for _ in range(rng.randint(1, 4))) if 5 <= style <= 9 else ""
     if style == 0:
         letters = "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", rng.randint(12, 26)))
         return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 14))) for _ in range(rng.randint(15, 60)))
@@ -519,37 +556,57 @@ def _junk(rng: random.Random, sents: list[str]) -> str:
     return " ".join(f"{rng.choice('ABCDEFXYZ')}{rng.randrange(1000)}-{rng.choice('abcdefgh')}{rng.randrange(100)}:{rng.randrange(10**6)}" for _ in range(rng.randint(10, 40)))
 
 
-def fit_kinds(texts: list[str], seed: int = 11, rounds: int = 200, docs: int = 1500) -> Kinds:
-    """Trigrams of the sample's sentences, and softmax weights fitted to layouts made of them."""
-    rng = random.Random(seed)
-    sents = _sentences(texts)
+def gram_counts(sents: list[str]) -> Counter:
+    """How often a letter trigram stands in the words of a sentence, each word of it once."""
+    words = Counter(w for s in sents for w in set(_JUDGED.findall(s.lower())))
+    out: Counter = Counter()
+    for w, n in words.items():
+        for g in word_trigrams(w):
+            out[g] += n
+    return out
+
+
+def known_grams(counts: tuple[Counter, Counter], totals: tuple[int, int]) -> tuple[frozenset[str], tuple[frozenset[str], frozenset[str]], frozenset[str]]:
+    """The known trigrams of two halves of all sentences; those that judge each half, which are of the other, as other texts will be; and
+    the frequent ones, which judge prose as if its language were unknown."""
     base: Counter = Counter()
     for w in {w for s in BUILT_IN for w in _JUDGED.findall(s.lower())} | {w for words in FUNCTION_WORDS.values() for w in words}:
         base.update(word_trigrams(w))
-    # each half of the sentences is judged by the trigrams of the other, as other texts will be
-    halves = [sents[0::2], sents[1::2] or sents]
-    counts = [Counter(g for s in half for w in set(_JUDGED.findall(s.lower())) for g in word_trigrams(w)) for half in halves]
-    judges = [Grams(frozenset(base | counts[1])), Grams(frozenset(base | counts[0]))]
-    # as if the language of a sentence were unknown: only frequent trigrams, and no function words
-    both = base + counts[0] + counts[1]
-    few = Grams(frozenset(g for g, _ in both.most_common(len(both) // 4)))
+
+    if not all(totals):  # a single sentence
+        counts, totals = (counts[0] + counts[1],) * 2, (sum(totals),) * 2
+
+    def known(count: Counter, total: int) -> Counter:
+        return base + Counter({g: n for g, n in count.items() if n >= RARE * total})
+
+    both = known(counts[0] + counts[1], sum(totals))
+    often = sorted(both, key=lambda g: (-both[g], g))[: len(both) // 4]
+    return frozenset(both), (frozenset(known(counts[1], totals[1])), frozenset(known(counts[0], totals[0]))), frozenset(often)
+
+
+def fit_layouts(halves: list[list[str]], judges: list[Grams], few: Grams, seed: int = 11, rounds: int = 200, docs: int = LAYOUTS) -> tuple[np.ndarray, int]:
+    """Softmax weights fitted to layouts into which all sentences of both halves are dealt, ``docs`` of them at least, and their number."""
+    rng = random.Random(seed)
+    deals = [Deal(rng, half) for half in halves]
     xs, ys, sizes = [], [], []
     makers = (_prose, _prose, _list, _table, _junk)
-    for d in range(docs):
+    d = half = 0
+    while d < docs or d % len(makers) or any(x.left > 0 for x in deals):
         make = makers[d % len(makers)]
-        # one document is mostly in one language
-        half = halves[d // len(makers) % 2]
-        at = rng.randrange(len(half))
+        if not d % len(makers):
+            half = int(not deals[0].sents or bool(deals[1].sents) and deals[1].left > deals[0].left)
+        # no function words, as if the language of a sentence were unknown
         unknown = make is _prose and rng.random() < 0.2
-        lay = Layout(make(rng, half[at : at + 15]), few if unknown else judges[d // len(makers) % 2], not unknown)
+        lay = Layout(make(rng, deals[half]), few if unknown else judges[half], not unknown)
         total = sum(s for s, _ in lay.segments) or 1
         y = KINDS.index({_prose: "sentence", _list: "list", _table: "table", _junk: "junk"}[make])
-        for (size, _), v in zip(lay.segments, lay.vectors):
-            xs.append(v)
-            ys.append(y)
-            sizes.append(size / total)
-    x, y, w = np.array(xs), np.array(ys), np.array(sizes)
-    gold = np.eye(len(KINDS))[y]
+        if lay.vectors:
+            xs.append(np.array(lay.vectors))
+            ys += [y] * len(lay.vectors)
+            sizes += [size / total for size, _ in lay.segments]
+        d += 1
+    x, w = np.concatenate(xs), np.array(sizes)
+    gold = np.eye(len(KINDS))[ys]
     weights = np.zeros((x.shape[1], len(KINDS)))
     m1, m2 = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, rounds + 1):  # full-batch Adam
@@ -559,11 +616,91 @@ def fit_kinds(texts: list[str], seed: int = 11, rounds: int = 200, docs: int = 1
         grad = x.T @ ((p - gold) * w[:, None]) / w.sum() + 1e-4 * weights
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
         weights -= 0.3 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
-    return Kinds(frozenset(both), weights)
+    return weights, d
+
+
+def fit_kinds(texts: list[str], seed: int = 11, rounds: int = 200, docs: int = LAYOUTS) -> Kinds:
+    """The fit to a list of texts, as one group."""
+    sents = _sentences(texts)
+    halves = [sents[0::2], sents[1::2] or sents]
+    known, judges, few = known_grams((gram_counts(halves[0]), gram_counts(halves[1])), (len(halves[0]), len(halves[1])))
+    return Kinds(known, fit_layouts(halves, [Grams(g) for g in judges], Grams(few), seed, rounds, docs)[0])
+
+
+#: White space as ``str.strip`` knows it.
+_BLANK = r"[^\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def distinct_texts(items: DataFrame) -> DataFrame:
+    """Every different text that is not blank, once, written with its hash (``key``)."""
+    texts = items.where("item_id is not null and text is not null").where(F.col("text").rlike(_BLANK)).select("text").distinct()
+    return materialize(texts.select(F.md5("text").alias("key"), "text"), "texts")
+
+
+#: Parts of one by which weights are summed as whole numbers.
+_PARTS = 10**6
+
+
+def fit_texts(texts: DataFrame) -> Kinds:
+    """The fit to all of ``distinct_texts``: trigrams are counted over all sentences, weights fitted in groups of texts and averaged by
+    layouts. The groups are of hashes and the sums of whole numbers, so partitions have no say."""
+    spark = texts.sparkSession
+    groups = -(-(texts.agg(F.sum(F.length("text"))).first()[0] or 0) // GROUP)
+    if not groups:
+        return fit_kinds([])
+
+    columns = ["half", "key", "sents", "gram", "n"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, totals = (Counter(), Counter()), [0, 0]
+        for pdf in batches:
+            rows: tuple[list, list] = ([], [])
+            for key, text in zip(pdf["key"], pdf["text"]):
+                sents = text_sentences(text)
+                for half, some in enumerate((sents[0::2], sents[1::2]), int(key[-1], 16)):
+                    if some:
+                        rows[half % 2].append((key, some))
+            for half, found in enumerate(rows):
+                sents = [s for _, some in found for s in some]
+                counts[half].update(gram_counts(sents))
+                totals[half] += len(sents)
+                yield pd.DataFrame([(half, k, x, None, len(x)) for k, x in found], columns=columns, dtype=object)
+        for half, count in enumerate(counts):
+            yield pd.DataFrame([(half, None, None, g, n) for g, n in [("", totals[half]), *count.items()]], columns=columns, dtype=object)
+
+    found = materialize(spread(texts).mapInPandas(read, "half int, key string, sents array<string>, gram string, n long"), "sentences")
+    by_half = [F.coalesce(F.sum(F.when(F.col("half") == h, F.col("n"))), F.lit(0)).alias(f"n{h}") for h in (0, 1)]
+    totals = tuple(found.where("gram = ''").agg(*by_half).first())
+    if not sum(totals):
+        return fit_kinds([])
+    counted = found.where("gram <> ''").groupBy("gram").agg(*by_half)
+    enough = (F.col("n0") >= max(1, RARE * totals[0])) | (F.col("n1") >= max(1, RARE * totals[1]))  # else too rare in both together, too
+    rows = counted.where(enough).collect()
+    known, judges, few = known_grams((Counter({r["gram"]: r["n0"] for r in rows}), Counter({r["gram"]: r["n1"] for r in rows})), totals)
+    sent = spark.sparkContext.broadcast((judges, few))
+    least = -(-LAYOUTS // groups)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        judges, few = [Grams(g) for g in sent.value[0]], Grams(sent.value[1])
+        pdf = pdf.sort_values("key")
+        halves = [[s for x in pdf["sents"][pdf["half"] == h] for s in x] for h in (0, 1)]
+        parts = -(-sum(map(len, halves)) // GROUP_SENTENCES)
+        out = 0
+        n = 0
+        for k in range(parts):
+            some = [x[len(x) * k // parts : len(x) * (k + 1) // parts] for x in halves]
+            weights, docs = fit_layouts(some, judges, few, docs=-(-least // parts))
+            out, n = out + np.rint(weights.ravel() * _PARTS).astype("int64") * docs, n + docs
+        return pd.DataFrame({"place": range(len(out)), "v": out, "n": n})
+
+    group = F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group")
+    fitted = found.where("key is not null").select(group, "half", "key", "sents").groupBy("group").applyInPandas(fit, "place int, v long, n long")
+    sums = fitted.groupBy("place").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).orderBy("place").collect()
+    return Kinds(known, np.array([r["v"] / (_PARTS * r["n"]) for r in sums]).reshape(-1, len(KINDS)))
 
 
 def sample_texts(items: DataFrame) -> list[str]:
-    """At most ``SAMPLE`` texts, chosen by hash."""
+    """At most ``SAMPLE`` texts, chosen by hash, for trials on the driver; the queries fit to all texts (``fit_texts``)."""
     rows = items.where("item_id is not null and text is not null").select("item_id", "text", F.xxhash64("text").alias("_h")).orderBy("_h", "item_id").limit(4 * SAMPLE).collect()
     return list(dict.fromkeys(r["text"] for r in rows))[:SAMPLE]
 
@@ -596,25 +733,6 @@ FIELDS = [
     T.StructField("text_kind", T.StringType()),
 ]
 
-#: Results a task keeps of texts it has seen, since versions of an item share theirs.
-KEPT = 50_000
-
-
-class Once:
-    """Calls a function once per text, as long as the results are kept."""
-
-    def __init__(self, fn) -> None:
-        self.fn, self.seen = fn, {}
-
-    def __call__(self, text: str):
-        key = hashlib.md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
-        if key not in self.seen:
-            if len(self.seen) >= KEPT:
-                self.seen.clear()
-            self.seen[key] = self.fn(text)
-        return self.seen[key]
-
-
 def common_words(items: DataFrame) -> DataFrame:
     """The words in at least ``COMMON`` of all texts (``w``), counted once per item and version."""
     texts = items.where("text is not null")
@@ -628,28 +746,27 @@ def common_words(items: DataFrame) -> DataFrame:
 def text_statistics(items: DataFrame, model: Kinds | None = None, common: list[str] | None = None) -> DataFrame:
     """item_id and the statistics of each item's text.
 
-    They are worked out before the shuffle, which then carries figures and no
-    texts; a version's text that a task has seen is not read again. Of an item
-    with differing texts the one of the first version counts.
+    Each different text is read once, whatever the number of its items and
+    versions; the figures are then joined to the items by the text's hash. Of an
+    item with differing texts the one of the first version counts.
     """
     spark = items.sparkSession
-    model = model or fit_kinds(sample_texts(items))
+    texts = distinct_texts(items)
+    model = model or fit_texts(texts)
     sent = spark.sparkContext.broadcast((model.grams.grams, model.weights, frozenset(common or ())))
-    keys = [T.StructField("item_id", T.StringType()), T.StructField("_at", T.StringType())]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, weights, words = sent.value
         mine = Kinds(grams, weights)
-        once = Once(lambda t: tuple(got.values()) if (got := statistics(t, mine, words)) is not None else None)
         for pdf in batches:
-            rows = [(i, at, *got) for i, at, t in zip(pdf["item_id"], pdf["_at"], pdf["text"]) if (got := once(t)) is not None]
-            yield pd.DataFrame(rows, columns=["item_id", "_at", *[f.name for f in FIELDS]])
+            rows = [(k, *statistics(t, mine, words).values()) for k, t in zip(pdf["key"], pdf["text"])]
+            yield pd.DataFrame(rows, columns=["key", *[f.name for f in FIELDS]])
 
     place = F.format_string("%011d%020d", F.coalesce("iteration", F.lit(0)), F.xxhash64("text")) if "iteration" in items.columns else F.xxhash64("text").cast("string")
-    rows = spread(items.where("item_id is not null and text is not null").select("item_id", place.alias("_at"), "text"))
-    got = rows.mapInPandas(run, T.StructType([*keys, *FIELDS]))
-    figures = F.struct(*[f.name for f in FIELDS])
-    return got.groupBy("item_id").agg(F.min_by(figures, "_at").alias("_f")).select("item_id", "_f.*")
+    rows = items.where("item_id is not null and text is not null").where(F.col("text").rlike(_BLANK)).select("item_id", place.alias("_at"), F.md5("text").alias("key"))
+    first = rows.groupBy("item_id").agg(F.min_by("key", "_at").alias("key"))
+    got = spread(texts).mapInPandas(run, T.StructType([T.StructField("key", T.StringType()), *FIELDS]))
+    return first.join(got, "key").select("item_id", *[f.name for f in FIELDS])
 
 
 def common_list(items: DataFrame) -> list[str]:

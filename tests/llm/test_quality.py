@@ -130,3 +130,55 @@ OTHERS = [
 def test_texts_of_another_making(model, n):
     text, kind = OTHERS[n]
     assert statistics(text, model)["text_kind"] == kind
+
+
+def _many(n):
+    """Texts of two sentences, each with a word of its own."""
+    own = ["".join("bcdfghjklmnpqrstvwxz"[k // 20**p % 20] for p in range(3)) for k in range(n)]
+    return own, [f"The old {w} stood in the town for a week and nobody asked why. It was in the house of {w} all the time." for w in own]
+
+
+def test_fit_reads_all_texts(spark, monkeypatch):
+    """The trigrams of every text are known, not those of a sample."""
+    made = []
+
+    class Seen(Q.Kinds):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+
+    own, texts = _many(1000)
+    items = spark.createDataFrame([(f"i{k}", 1, t) for k, t in enumerate(texts)], "item_id string, iteration int, text string")
+    monkeypatch.setattr(Q, "Kinds", Seen)
+    text_statistics(items)
+    assert [w for w in own if w not in made[-1].grams.grams] == []
+
+
+def test_groups_and_partitions(spark, tables, monkeypatch):
+    """Fitted in several groups, each different text once, whatever the partitions and repeats."""
+    monkeypatch.setattr(Q, "GROUP", 40_000)
+    monkeypatch.setattr(Q, "GROUP_SENTENCES", 100)
+    texts = [(r.item_id, r.text) for r in tables("items", "sf0.01").where("text is not null").select("item_id", "text").distinct().collect()]
+    once = spark.createDataFrame(texts, "item_id string, text string")
+    twice = spark.createDataFrame([*reversed(texts), *texts], "item_id string, text string").repartition(7)
+    a, b = (Q.fit_texts(Q.distinct_texts(x)) for x in (once, twice))
+    assert a.grams.grams == b.grams.grams and (a.weights == b.weights).all()
+    assert statistics(PROSE, a)["text_kind"] is None and statistics("\n".join(NOUNS), a)["text_kind"] == "list"
+
+
+def test_few_sentences(spark):
+    for texts in ([], ["  \x1c\u3000\n"], ["milk\neggs\nbread"], ["The old letter lay on the table of the house."]):
+        items = spark.createDataFrame([("a", t) for t in texts], "item_id string, text string")
+        assert text_statistics(items).count() == sum(bool(t.strip()) for t in texts)
+
+
+def test_each_sentence_is_dealt(monkeypatch):
+    deal = Q.Deal(random.Random(1), ["a", "b", "c"])
+    assert [deal.next() for _ in range(3)] == ["a", "b", "c"] and deal.left == 0 and deal.next() in "abc"
+    halves = [Q._sentences(_many(300)[1])[k::2] for k in (0, 1)]
+    dealt = []
+    plain = Q._one
+    monkeypatch.setattr(Q, "_one", lambda r, s: dealt.append(x := plain(r, s)) or x)
+    few = Q.Grams(frozenset())
+    _, docs = Q.fit_layouts(halves, [few, few], few, rounds=0, docs=5)
+    assert set(dealt) == set(halves[0] + halves[1]) and docs % 5 == 0
