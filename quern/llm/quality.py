@@ -680,8 +680,12 @@ def fit_texts(texts: DataFrame) -> Kinds:
     sent = spark.sparkContext.broadcast((judges, few))
     least = -(-LAYOUTS // groups)
 
+    kept: list[Grams] = []  # what a task has found out about words serves all its groups
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        judges, few = [Grams(g) for g in sent.value[0]], Grams(sent.value[1])
+        if not kept:
+            kept.extend(Grams(g) for g in (*sent.value[0], sent.value[1]))
+        *judges, few = kept
         pdf = pdf.sort_values("key")
         halves = [[s for x in pdf["sents"][pdf["half"] == h] for s in x] for h in (0, 1)]
         parts = -(-sum(map(len, halves)) // GROUP_SENTENCES)
